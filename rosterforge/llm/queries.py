@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import duplicates
-from .common import table
+from . import duplicates, mapping
+from .common import is_blank, table
 
 P1_FIELDS = ("name", "profile_url", "email")
 
@@ -25,8 +25,64 @@ def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.collapse(rows, "row_id", P1_FIELDS).select("representative", "copies")
 
 
+def _p4(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """``row_id, field, <keep>, ref_id`` of every typed value that isn't spelled like an entry.
+
+    The reference lists and the sites are fixed lists (18, 486 and 80 rows);
+    the counts of exact spellings are grouped by their entries, so all that
+    reaches the driver is bounded by the size of the lists.
+    """
+    rows = table(spark, sf_dir, "template_rows", "row_id", "title", "school", "college", "source")
+    titles = table(spark, sf_dir, "title_list", "title_id", "title_zh", "title_en")
+    colleges = table(spark, sf_dir, "college_list", "college_id", "school", "college_zh", "college_en")
+    sites = table(spark, sf_dir, "sites", "source", F.col("school").alias("own_school")).dropDuplicates(["source"])
+    ranks, places = titles.collect(), colleges.collect()
+
+    rows = rows.join(F.broadcast(sites), "source", "left").withColumn("own_school", F.coalesce("own_school", "school"))
+    typed = rows.select(
+        "row_id",
+        F.explode(
+            F.array(
+                F.struct(F.lit("title").alias("field"), F.lit("").alias("scope"), F.col("title").alias("value")),
+                F.struct(
+                    F.lit("college").alias("field"),
+                    F.coalesce("own_school", F.lit("")).alias("scope"),
+                    F.col("college").alias("value"),
+                ),
+            )
+        ).alias("cell"),
+    ).select("row_id", "cell.*")
+    typed = typed.where(~is_blank("value"))
+    exact = titles.select(F.lit("title").alias("field"), F.col("title_zh").alias("value")).unionByName(
+        colleges.select(F.lit("college").alias("field"), F.col("college_zh").alias("value"))
+    ).distinct()
+    spelled = typed.join(F.broadcast(exact), ["field", "value"], "left_semi").groupBy("field", "scope", "value").count().collect()
+    uses = {(r["field"], r["scope"], r["value"]): r["count"] for r in spelled}
+    found = typed.join(F.broadcast(exact), ["field", "value"], "left_anti")
+    keep_columns = ["row_id", "field", *keep]
+    by_title = mapping.rank_entries([tuple(r) for r in ranks], {v: n for (f, _, v), n in uses.items() if f == "title"})
+    by_college = mapping.college_entries([tuple(r) for r in places], {(s, v): n for (f, s, v), n in uses.items() if f == "college"})
+    for e in by_title:
+        e.scope = "title/"
+    for e in by_college:
+        e.scope = "college/" + e.scope
+    scoped = found.withColumn("scope", F.concat_ws("/", "field", "scope"))
+    return mapping.map_values(scoped, keep_columns, by_title + by_college)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p4(spark, sf_dir)
+
+
+def p4_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values without any entry, with their number of rows."""
+    return (
+        _p4(spark, sf_dir, "value").where("ref_id = 0").groupBy("field", "value").agg(F.count("*").alias("n_rows"))
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p4_found": p4_found, "p4_misses": p4_misses}
 
 
 def oracle_sql() -> dict[str, str]:
