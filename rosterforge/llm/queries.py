@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import duplicates, mapping
+from . import duplicates, garbled, mapping
 from .common import is_blank, table
 
 P1_FIELDS = ("name", "profile_url", "email")
@@ -81,8 +81,25 @@ def p4_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+P7_FIELDS = ("name", "intro")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "template_rows", "row_id", *P7_FIELDS)
+    return garbled.restored(rows, "row_id", P7_FIELDS).select(F.col("id").alias("row_id"), "field")
+
+
+def p7_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Garbled cells with their original text, as far as it can still be had."""
+    rows = table(spark, sf_dir, "template_rows", "row_id", *P7_FIELDS)
+    whole = ~F.col("restored").contains("\ufffd")
+    return garbled.restored(rows, "row_id", P7_FIELDS).select(
+        F.col("id").alias("row_id"), "field", "original", "restored", whole.alias("is_whole")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p4_found": p4_found, "p4_misses": p4_misses}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p4_found": p4_found, "p4_misses": p4_misses, "p7_found": p7_found, "p7_restored": p7_restored}
 
 
 def oracle_sql() -> dict[str, str]:
