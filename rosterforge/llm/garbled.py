@@ -128,13 +128,19 @@ def _plausible(decoded: str, standing: str, read: str, written: str, model: Char
     wide = [c for c in decoded if not c.isascii()]
     if not wide:
         return False
-    if single and _FOUR_BYTE.search(standing) and all(ord(c) < 0x3000 for c in wide):
+    if single and written == "gb18030" and len(wide) == len(decoded) and (
+        all(c == "§" for c in standing[::2]) and len(decoded) >= 2 and all("\u0400" <= c < "\u0500" for c in wide)
+        or all(c == "¨" for c in standing[::2]) and glued and _LATIN.fullmatch(decoded)
+    ):
+        return True  # the rows of Cyrillic and of accented letters
+    if single and _FOUR_BYTE.search(standing) and all(ord(c) < 0x3000 or "\u3040" <= c < "\u3100" or "\uac00" <= c < "\ud7a4" for c in wide):
         return True
     if single and not all(0x3000 <= ord(c) < 0xA000 or 0xFF00 <= ord(c) < 0xFFEF or ord(c) == 0xB7 for c in wide):
         return False
     if single and sum(not c.isascii() for c in standing) < 2:
         return False
-    return model.mean(decoded) > model.mean(standing) + GAIN
+    symbols = single and len(standing) >= 4 and not any(c.isascii() for c in standing)
+    return model.mean(decoded) > model.mean(standing) + (0.0 if symbols else GAIN)
 
 
 def _glued(s: str, start: int, end: int) -> bool:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import duplicates, garbled, mapping
+from . import duplicates, garbled, lookalike, mapping, residue
 from .common import is_blank, table
 
 P1_FIELDS = ("name", "profile_url", "email")
@@ -81,6 +81,51 @@ def p4_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+P5_FIELDS = ("name", "email")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with other characters; names that are garbled and addresses that are residue are answered by 7 and 6."""
+    rows = table(spark, sf_dir, "template_rows", "row_id", *P5_FIELDS)
+    names = garbled.char_counts(rows, "name")["name"]
+    model: list[garbled.CharModel] = []
+
+    def is_garbled(field: str, text: str) -> bool:
+        if field != "name":
+            return False
+        if not model:
+            model.append(garbled.model_of(names))
+        return garbled.repair(text, model[0])[0]
+
+    found = lookalike.cells(rows, "row_id", P5_FIELDS, is_garbled)
+    is_residue = (F.col("field") == "email") & residue.evidence(F.trim("original"), F.lit(True)).isNotNull()
+    return found.where(~is_residue).select(F.col("id").alias("row_id"), "field")
+
+
+def p5_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's name and email in their consistent form."""
+    rows = table(spark, sf_dir, "template_rows", "row_id", *P5_FIELDS)
+    changed = lookalike.cells(rows, "row_id", P5_FIELDS).groupBy(F.col("id").alias("row_id")).agg(
+        *[F.max(F.when(F.col("field") == f, F.col("consistent"))).alias(f"new_{f}") for f in P5_FIELDS]
+    )
+    joined = rows.join(changed, "row_id", "left")
+    return joined.select("row_id", *[F.coalesce(f"new_{f}", f).alias(f) for f in P5_FIELDS])
+
+
+def _p6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "template_rows", "row_id", "source", "intro", "email")
+    return residue.residue(rows, "row_id", "source", ("intro",), ("email",)).withColumnRenamed("id", "row_id")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p6(spark, sf_dir).select("row_id", "field")
+
+
+def p6_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Excluded cells by field and kind of evidence."""
+    return _p6(spark, sf_dir).groupBy("field", "evidence").agg(F.count("*").alias("n_cells"))
+
+
 P7_FIELDS = ("name", "intro")
 
 
@@ -99,7 +144,7 @@ def p7_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p4_found": p4_found, "p4_misses": p4_misses, "p7_found": p7_found, "p7_restored": p7_restored}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_consistent": p5_consistent, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored}
 
 
 def oracle_sql() -> dict[str, str]:
