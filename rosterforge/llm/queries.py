@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import duplicates, garbled, lookalike, mapping, residue
+from . import duplicates, garbled, lookalike, mapping, residue, truncation
 from .common import is_blank, table
 
 P1_FIELDS = ("name", "profile_url", "email")
@@ -25,6 +26,41 @@ def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.collapse(rows, "row_id", P1_FIELDS).select("representative", "copies")
 
 
+def _p3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut intros without those that are residue (6) or garbled (7)."""
+    rows = table(spark, sf_dir, "template_rows", "row_id", "source", "intro")
+    cut = truncation.cut_texts(rows, "row_id", "source", "intro")
+    left_out = residue.residue(rows, "row_id", "source", ("intro",), ()).select("id")
+    counts = garbled.char_counts(rows, "intro")["intro"]
+
+    def readable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = garbled.model_of(counts)
+        for batch in batches:
+            yield batch[[not garbled.repair(t, model)[0] for t in batch["text"]]]
+
+    kept = cut.join(left_out, "id", "left_anti")
+    return kept.mapInPandas(readable, kept.schema)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p3(spark, sf_dir).select(F.col("id").alias("row_id"))
+
+
+def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source its intros, its cut intros and their share."""
+    intros = (
+        table(spark, sf_dir, "template_rows", "source", "intro")
+        .where(~is_blank("intro"))
+        .groupBy(F.coalesce("source", F.lit("")).alias("source"))
+        .agg(F.count("*").alias("n_intros"))
+    )
+    cut = _p3(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n_cut"))
+    n_cut = F.coalesce("n_cut", F.lit(0))
+    return intros.join(cut, "source", "left").select(
+        "source", "n_intros", n_cut.alias("n_cut"), (n_cut / F.col("n_intros")).alias("share_cut")
+    )
+
+
 def _p4(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """``row_id, field, <keep>, ref_id`` of every typed value that isn't spelled like an entry.
 
@@ -144,7 +180,7 @@ def p7_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_consistent": p5_consistent, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_consistent": p5_consistent, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored}
 
 
 def oracle_sql() -> dict[str, str]:
