@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import duplicates, garbled, lookalike, mapping, residue, truncation
+from . import duplicates, garbled, levels, lookalike, mapping, packing, residue, tokens, truncation
 from .common import is_blank, table
 
 P1_FIELDS = ("name", "profile_url", "email")
@@ -179,8 +179,65 @@ def p7_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return tokens.encode_column(docs, "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+def p9_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document, or of every piece of a split one, for each capacity."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    capacities = [tuple(r) for r in table(spark, sf_dir, "container_sizes", "size_id", "capacity_tokens").collect()]
+    sizes = tokens.count_column(docs, "doc_id", "text")
+    return packing.pack(sizes, capacities).withColumnRenamed("id", "doc_id")
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers used per capacity, the least number possible by volume, and the share of space filled."""
+    capacities = table(spark, sf_dir, "container_sizes", "size_id", "size_name", "capacity_tokens")
+    used = (
+        p9_assigned(spark, sf_dir)
+        .groupBy("size_id", "container_id")
+        .agg(F.sum("n_tokens").alias("n"))
+        .groupBy("size_id")
+        .agg(F.count("*").alias("n_containers"), F.sum("n").alias("n_tokens"))
+    )
+    return capacities.join(used, "size_id").select(
+        "size_id",
+        "size_name",
+        "n_containers",
+        F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_containers"),
+        (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("share_filled"),
+    )
+
+
+def _p10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "level_labels", "doc_id", "level")
+    return levels.reading_levels(docs, labels, "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p10(spark, sf_dir).select("doc_id", "level")
+
+
+def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus by level and writing: documents, mean coverage rank and mean sentence length (logarithms)."""
+    return (
+        _p10(spark, sf_dir)
+        .groupBy("level", "ideographic")
+        .agg(
+            F.count("*").alias("n_documents"),
+            F.avg("cover_90").alias("mean_cover_90"),
+            F.avg("sentence_mean").alias("mean_sentence"),
+        )
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_consistent": p5_consistent, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_consistent": p5_consistent, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored,
+        "p8_ids": p8_ids, "p9_assigned": p9_assigned, "p9_fill": p9_fill, "p10_found": p10_found, "p10_profile": p10_profile,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
