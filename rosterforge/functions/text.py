@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import rules
 
@@ -39,10 +40,10 @@ def unescape(c: Column | str) -> Column:
     out = text_of(c)
     for entity, sign in rules.ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(sign))
-    return F.when(text_of(c).contains("&"), out).otherwise(text_of(c))
+    return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_all(s: pd.Series) -> pd.Series:
     """Every HTML entity; for columns where the common ones don't suffice."""
     return s.map(lambda x: html.unescape(x) if x else x)

@@ -38,25 +38,24 @@ def priority(c: Column) -> Column:
     return F.when(at > 0, at - 1).otherwise(len(rules.TITLE_ORDER)).cast("int")
 
 
+def _found(source: Column, title: str, alias: str) -> Column:
+    place = rules.TITLE_ORDER.index(title)
+    return F.transform(
+        matches_with_offsets(source, _pattern(alias)),
+        lambda m: F.struct(
+            m["start"].alias("start"),
+            F.lit(place).alias("priority"),
+            (m["start"] - m["end"]).alias("size"),
+            m["end"].alias("end"),
+            F.lit(title).alias("title"),
+        ),
+    )
+
+
 def occurrences(source: Column | str) -> Column:
     """``array<struct<start, priority, size, end, title>>`` of every rank, sorted; ``size`` is negative length."""
     s = text_of(source)
-    every = []
-    for title, english in rules.TITLES.items():
-        for alias in (title, *english):
-            every.append(
-                F.transform(
-                    matches_with_offsets(s, _pattern(alias)),
-                    lambda m, t=title: F.struct(
-                        m["start"].alias("start"),
-                        F.lit(rules.TITLE_ORDER.index(t)).alias("priority"),
-                        (m["start"] - m["end"]).alias("size"),
-                        m["end"].alias("end"),
-                        F.lit(t).alias("title"),
-                    ),
-                )
-            )
-    return F.array_sort(F.array_distinct(F.concat(*every)))
+    return F.array_sort(F.array_distinct(F.concat(*[_found(s, t, a) for t, english in rules.TITLES.items() for a in (t, *english)])))
 
 
 def first_in(source: Column | str) -> Column:

@@ -7,6 +7,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .text import col, norm_ws, text_of
 
@@ -18,7 +19,7 @@ def looks_like_url(c: Column | str) -> Column:
 
 
 def without_fragment(c: Column | str) -> Column:
-    return F.regexp_replace(text_of(c), "#.*$", "")
+    return F.regexp_replace(text_of(c), r"#[\s\S]*$", "")
 
 
 def scheme(c: Column | str) -> Column:
@@ -67,7 +68,7 @@ def resolve(base: Column | str, link: Column | str) -> Column:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def resolve_all(base: pd.Series, link: pd.Series) -> pd.Series:
     """Absolute form of any link."""
     return pd.Series([urljoin(b or "", x or "") for b, x in zip(base, link)])

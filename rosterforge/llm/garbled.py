@@ -214,7 +214,7 @@ def _worth_trying(s: str, model: CharModel) -> Iterator[tuple[str, str]]:
             if odd:
                 yield read, written
         elif written == "utf-8":
-            if _THREE_BYTES.search(s.encode(read, "ignore")):
+            if (rare or read == "gb18030") and _THREE_BYTES.search(s.encode(read, "ignore")):
                 yield read, written
         elif rare:
             yield read, written

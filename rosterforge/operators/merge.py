@@ -92,10 +92,8 @@ def is_valid_row(prefix: str = "") -> Column:
 
 def sanitised(df: DataFrame, keep_invalid: bool = False) -> DataFrame:
     """Shared addresses blanked, cells normalised, names cleaned, incomplete rows dropped unless kept."""
-    out = without_shared_addresses(df)
-    for c in rules.COLUMNS:
-        out = out.withColumn(c, norm_ws(c))
-    out = out.withColumn("name", clean_name("name"))
+    given = [c for c in rules.COLUMNS if c in df.columns]
+    out = without_shared_addresses(df).withColumns({c: clean_name(c) if c == "name" else norm_ws(c) for c in given})
     return out if keep_invalid else out.where(is_valid_row())
 
 
