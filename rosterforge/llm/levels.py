@@ -44,22 +44,20 @@ FEATURES = tuple(f"cover_{round(s * 100)}" for s in SHARES) + (
     "sentence_mean", "sentence_low", "sentence_mid", "sentence_high", "clauses", "word_length",
 )
 
-_TOKENS = re.compile(r"[一-鿿]+|[a-zß-ÿā-ɏ']+")
-_SENTENCES = re.compile(r"[。！？!?；;\n]+|\.(?:\s|$)")
-_HAN = re.compile(r"[一-鿿]")
-_LATIN = re.compile(r"[A-Za-zÀ-ɏ']+")
-_CLAUSE = re.compile(r"[，,、：:]")
+_RUNS = re.compile(r"[一-鿿]+|[A-Za-zÀ-ɏ']+")
+_SCAN = re.compile(r"([一-鿿]+)|([A-Za-zÀ-ɏ']+)|([，,、：:])|(\d+)|([。！？!?；;\n]+|\.(?:\s|$))")
+
+
+def words_of(run: str) -> list[str]:
+    """A Latin word itself; the overlapping pairs of signs of an ideographic run."""
+    if "一" <= run[0]:
+        return [run[i : i + 2] for i in range(len(run) - 1)] or [run]
+    return [run.lower()]
 
 
 def words(text: str) -> list[str]:
     """Words in Latin letters, and the overlapping pairs of signs of ideographic runs."""
-    out = []
-    for w in _TOKENS.findall(text.lower()):
-        if "一" <= w[0]:
-            out += [w[i : i + 2] for i in range(len(w) - 1)] or [w]
-        else:
-            out.append(w)
-    return out
+    return [w for run in _RUNS.findall(text) for w in words_of(run)]
 
 
 def covering_ranks(ranked: list[tuple[int, int]], total: int) -> list[float] | None:
@@ -76,23 +74,45 @@ def covering_ranks(ranked: list[tuple[int, int]], total: int) -> list[float] | N
     return out
 
 
-def sentence_features(text: str) -> list[float]:
-    """Mean and quartiles of the sentence length (in signs; a Latin word counts 1.7), clause marks, word length."""
-    sentences = [s for s in _SENTENCES.split(text) if re.search(r"\w", s)]
-    lengths = sorted(len(_HAN.findall(s)) + 1.7 * len(_LATIN.findall(s)) for s in sentences) or [0.0]
+def scan(text: str) -> tuple[list[str], bool, list[float]]:
+    """Words, whether ideographs prevail, and sentence features, in one pass.
+
+    The features are mean and quartiles of the sentence length (in signs; a
+    Latin word counts 1.7), clause marks a sentence, and mean word length.
+    """
+    found: list[str] = []
+    lengths: list[float] = []
+    han = latin = letters = clauses = 0
+    length, filled = 0.0, False
+    for m in _SCAN.finditer(text):
+        kind = m.lastindex
+        if kind == 1:
+            n = m.end() - m.start()
+            han += n
+            length += n
+            filled = True
+            found += words_of(m.group())
+        elif kind == 2:
+            latin += 1
+            letters += m.end() - m.start()
+            length += 1.7
+            filled = True
+            found.append(m.group().lower())
+        elif kind == 3:
+            clauses += 1
+        elif kind == 4:
+            filled = True
+        elif filled:
+            lengths.append(length)
+            length, filled = 0.0, False
+    if filled:
+        lengths.append(length)
     n = len(lengths)
-    quartile = [lengths[min(n - 1, int(q * (n - 1) + 0.5))] for q in (0.25, 0.5, 0.75)]
-    latin = _LATIN.findall(text)
-    return [
-        math.log1p(sum(lengths) / n),
-        *[math.log1p(q) for q in quartile],
-        sum(len(_CLAUSE.findall(s)) for s in sentences) / max(1, len(sentences)),
-        sum(map(len, latin)) / len(latin) if latin else 0.0,
-    ]
-
-
-def is_ideographic(text: str) -> bool:
-    return len(_HAN.findall(text)) > 1.7 * len(_LATIN.findall(text))
+    lengths = sorted(lengths) or [0.0]
+    top = len(lengths) - 1
+    quartiles = [math.log1p(lengths[int(q * top + 0.5)]) for q in (0.25, 0.5, 0.75)]
+    mean = math.log1p(sum(lengths) / len(lengths))
+    return found, han > 1.7 * latin, [mean, *quartiles, clauses / max(1, n), letters / latin if latin else 0.0]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -143,9 +163,10 @@ def features(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
         for batch in batches:
             out = []
             for i, text in zip(batch["id"], batch["text"]):
-                tf = Counter(words(text))
-                covered = covering_ranks(sorted((known[w], n) for w, n in tf.items() if w in known), sum(tf.values()))
-                out.append((i, is_ideographic(text), *(covered or [None] * len(SHARES)), *sentence_features(text)))
+                found, ideographic, sentence = scan(text)
+                tf = Counter(found)
+                covered = covering_ranks(sorted((known[w], n) for w, n in tf.items() if w in known), len(found))
+                out.append((i, ideographic, *(covered or [None] * len(SHARES)), *sentence))
             yield pd.DataFrame(out, columns=["id", "ideographic", *FEATURES])
 
     settled = docs.select("id", "text").mapInPandas(settle, _SCHEMA)
