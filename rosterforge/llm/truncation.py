@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, is_blank, stripped
+from .common import SPACE, checkpointed, is_blank, stripped
 
 #: Openings with fewer than one in SUPPORT of all sentences aren't kept; hence at most SUPPORT of them are.
 SUPPORT = 20_000
@@ -126,16 +126,17 @@ def openings(cells: DataFrame) -> DataFrame:
     each = cells.select(F.posexplode("sentences").alias("at", "sentence"), F.size("sentences").alias("n"), "marked").where(
         ~(F.col("marked") & (F.col("at") == F.col("n") - 1))
     )
-    counted = each.groupBy(opening(F.col("sentence")).alias("opening")).agg(
-        F.count_if(F.col("sentence").rlike(STOP)).alias("n_stop"),
-        F.count_if(~F.col("sentence").rlike(STOP)).alias("n_open"),
+    counted = checkpointed(
+        each.groupBy(opening(F.col("sentence")).alias("opening")).agg(
+            F.count_if(F.col("sentence").rlike(STOP)).alias("n_stop"),
+            F.count_if(~F.col("sentence").rlike(STOP)).alias("n_open"),
+        )
     )
-    total = each.agg(F.count("*").alias("total"))
-    kept = counted.join(F.broadcast(total)).where(
+    total = counted.agg(F.sum(F.col("n_stop") + F.col("n_open"))).first()[0] or 0
+    return counted.where(
         (F.col("n_stop") + F.col("n_open") >= 3)
-        & ((F.col("n_stop") + F.col("n_open")) * F.lit(SUPPORT) >= F.col("total"))
+        & ((F.col("n_stop") + F.col("n_open")) * F.lit(SUPPORT) >= F.lit(total))
     )
-    return kept.select("opening", "n_stop", "n_open")
 
 
 def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame:
@@ -164,16 +165,27 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         .withColumn("begun", F.lit(True))
     )
     tail = F.coalesce(F.try_element_at("sentences", F.lit(-1)), F.lit(""))
-    opened = cells.where("unfinished").select(
+    # One scan gives lengths of all cells and what is judged of the unfinished ones; both are read several times.
+    scanned = checkpointed(
+        cells.select(
+            "source",
+            "n_chars",
+            "n_bytes",
+            "unfinished",
+            *[F.when(F.col("unfinished"), c).alias(n) for n, c in {"id": F.col("id"), "text": F.col("text"), "tail": tail}.items()],
+            F.when(F.col("unfinished"), F.col("marked")).alias("marked"),
+        )
+    )
+    opened = scanned.where("unfinished").select(
         "id",
         "source",
         "text",
         "marked",
         "n_chars",
         "n_bytes",
-        opening(tail).alias("opening"),
-        ending(tail).alias("ending"),
-        masked(tail).alias("fragment"),
+        opening(F.col("tail")).alias("opening"),
+        ending(F.col("tail")).alias("ending"),
+        masked(F.col("tail")).alias("fragment"),
     )
     endings = (
         opened.where(~F.col("marked"))
@@ -188,7 +200,7 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         .join(F.broadcast(stopped), "opening", "left")
         .join(F.broadcast(endings), ["opening", "ending"], "left")
         .join(F.broadcast(begun), "fragment", "left")
-        .join(spikes(cells), "source", "left")
+        .join(spikes(scanned), "source", "left")
     )
     at_limit = F.coalesce(
         F.when(F.col("unit") == "chars", F.col("n_chars") == F.col("top")).otherwise(
