@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules
-from .text import SPACE, col, contains_any, html_to_text, matches_with_offsets, norm_ws, text_of
+from .text import SPACE, col, contains_any, html_to_text, let, matches_with_offsets, norm_ws, text_of
 
 _CANDIDATES = "array<struct<score:int,email:string>>"
 
@@ -41,8 +41,11 @@ def score(source: Column, start: Column, end: Column, email: Column) -> Column:
     """Additive evidence within 200 signs on either side, and the place within the source."""
     left = F.greatest(start - 200, F.lit(0))
     window = F.substr(source, left + 1, F.least(F.length(source), end + 200) - left)
+    return let(window, lambda w: _weighed(w, start / F.greatest(F.length(source), F.lit(1)), is_public(email)))
+
+
+def _weighed(window: Column, at: Column, public: Column) -> Column:
     near = {k: contains_any(window, v) for k, v in rules.AROUND.items()}
-    public, at = is_public(email), start / F.greatest(F.length(source), F.lit(1))
     own = near["label"] & ~public
     loose = ~near["section"] & ~own
     weigh = lambda condition, weight: F.when(condition, weight).otherwise(0)
@@ -61,31 +64,37 @@ def score(source: Column, start: Column, end: Column, email: Column) -> Column:
     )
 
 
-def candidates(source: Column | str, kind: str) -> Column:
+def candidates(source: Column | str, kind: str | Column) -> Column:
     """``array<struct<score, email>>`` of a plain source: the first occurrence of every address."""
-    s = text_of(source)
-    found = F.filter(
-        F.transform(
-            matches_with_offsets(s, rules.EMAIL),
-            lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), trimmed(m["found"]).alias("email")),
-        ),
-        lambda m: m["email"] != "",
-    )
+    bonus = F.lit(rules.SOURCE_BONUS.get(kind, 0)) if isinstance(kind, str) else kind
+
+    def each(s: Column) -> Column:
+        found = F.filter(
+            F.transform(
+                matches_with_offsets(s, rules.EMAIL),
+                lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), trimmed(m["found"]).alias("email")),
+            ),
+            lambda m: m["email"] != "",
+        )
+        return F.transform(
+            let(found, _first_of_each),
+            lambda m: F.struct(
+                (score(s, m["start"], m["end"], m["email"]) + bonus).cast("int").alias("score"), m["email"].alias("email")
+            ),
+        )
+
+    return let(text_of(source), each)
+
+
+def _first_of_each(found: Column) -> Column:
     seen = F.transform(found, lambda m: F.lower(m["email"]))
-    first = F.filter(found, lambda m, i: F.array_position(seen, F.lower(m["email"])) == i + 1)
-    bonus = rules.SOURCE_BONUS.get(kind, 0)
-    return F.transform(
-        first,
-        lambda m: F.struct(
-            (score(s, m["start"], m["end"], m["email"]) + bonus).cast("int").alias("score"), m["email"].alias("email")
-        ),
-    )
+    return let(seen, lambda e: F.filter(found, lambda m, i: F.array_position(e, F.lower(m["email"])) == i + 1))
 
 
 def best(scored: Column, least: int = 1) -> Column:
     """Highest score, then greatest address, in lower case; '' below ``least``."""
     top = F.array_max(F.transform(scored, lambda c: F.struct(c["score"].alias("score"), F.lower(c["email"]).alias("email"))))
-    return F.when(top["score"] >= least, top["email"]).otherwise(F.lit(""))
+    return F.coalesce(let(top, lambda t: F.when(t["score"] >= least, t["email"])), F.lit(""))
 
 
 def addresses(c: Column | str) -> Column:
@@ -111,7 +120,7 @@ def labelled_candidates(source: Column | str) -> Column:
     return F.coalesce(F.flatten(F.transform(every, lambda x: candidates(x, "context"))), F.array().cast(_CANDIDATES))
 
 
-def reliability(email: Column, source: Column | str, kind: str) -> Column:
+def reliability(email: Column, source: Column | str, kind: str | Column) -> Column:
     """Best score of the address in a source, or NULL if it doesn't occur there."""
     hits = F.filter(candidates(undisguise(source), kind), lambda c: F.lower(c["email"]) == F.lower(email))
     return F.array_max(F.transform(hits, lambda c: c["score"]))
@@ -119,15 +128,25 @@ def reliability(email: Column, source: Column | str, kind: str) -> Column:
 
 def extract(page: Column | str, text: Column | str, context: Column | str, ocr: Column | str | None = None) -> Column:
     """A labelled, reliable address; else the best of context and text; else the best of all sources."""
-    kinds = (("context", col(context)), ("text", col(text)), ("html", col(page)))
-    labelled = best(F.concat(*[labelled_candidates(s) for _, s in kinds]), 70)
-    reliable = F.greatest(*[F.coalesce(reliability(labelled, s, k), F.lit(-(10**9))) for k, s in kinds]) >= 70
-    near = F.concat(*[candidates(undisguise(s), k) for k, s in kinds[:2]])
-    every = F.concat(near, candidates(undisguise(col(page)), "html"))
+    each = (("context", context), ("text", text), ("html", page))
+    sources = F.array(
+        *[F.struct(F.lit(k).alias("kind"), F.lit(rules.SOURCE_BONUS[k]).alias("bonus"), text_of(s).alias("text")) for k, s in each]
+    )
+    labelled = best(F.flatten(F.transform(sources, lambda s: labelled_candidates(s["text"]))), 70)
+    trusted = lambda e: F.array_max(F.transform(sources, lambda s: reliability(e, s["text"], s["bonus"]))) >= 70
+    scored = F.transform(
+        sources, lambda s: F.struct((s["kind"] == "html").alias("far"), candidates(undisguise(s["text"]), s["bonus"]).alias("c"))
+    )
+    seen = F.array().cast(_CANDIDATES)
     if ocr is not None:
         from_image = best(candidates(undisguise(ocr), "ocr"))
-        every = F.concat(every, F.when(from_image != "", F.array(F.struct(F.lit(40).alias("score"), from_image.alias("email")))).otherwise(F.array().cast(_CANDIDATES)))
-    return F.coalesce(F.when((labelled != "") & reliable, labelled), F.nullif(best(near, 70), F.lit("")), best(every))
+        shown = let(from_image, lambda e: F.when(e != "", F.array(F.struct(F.lit(40).alias("score"), e.alias("email")))))
+        seen = F.coalesce(shown, seen)
+    of = lambda parts: F.flatten(F.transform(parts, lambda p: p["c"]))
+    staged = lambda p: F.coalesce(
+        F.nullif(best(of(F.filter(p, lambda x: ~x["far"])), 70), F.lit("")), best(F.concat(of(p), seen))
+    )
+    return F.coalesce(let(labelled, lambda e: F.when((e != "") & F.coalesce(trusted(e), F.lit(False)), e)), let(scored, staged))
 
 
 def masked(email: Column | str) -> Column:

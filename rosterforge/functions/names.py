@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules
-from .text import HAN, SPACE, clean_intro, col, contains_any, html_to_text, norm_ws, person_name, strip, text_of
-from .url import looks_like_url, path_stem
+from .text import HAN, SPACE, clean_intro, col, contains_any, html_to_text, let, norm_ws, person_name, strip, text_of
+from .url import path_stem
 
 _NAME = rf"^[{HAN}·]{{2,10}}$"
 
@@ -26,25 +26,24 @@ def clean_name(c: Column | str) -> Column:
 
 
 def looks_like_name(c: Column | str) -> Column:
-    n = person_name(c)
-    return ~looks_like_url(n) & n.rlike(_NAME)
+    return person_name(c).rlike(_NAME)  # which no URL is
 
 
 def name_quality(c: Column | str) -> Column:
     """2 for a clean name, 1 if it holds an ideograph, else 0."""
-    n = clean_name(c)
-    return (
-        F.when((n == "") | contains_any(n, rules.NAME_NOISE), 0)
-        .when(looks_like_name(n), 2)
+    return let(
+        clean_name(c),
+        lambda n: F.when((n == "") | contains_any(n, rules.NAME_NOISE), 0)
+        .when(n.rlike(_NAME), 2)
         .when(n.rlike(rf"[{HAN}]"), 1)
-        .otherwise(0)
+        .otherwise(0),
     )
 
 
 def name_candidate(c: Column | str) -> Column:
     """First run of ideographs that looks like a name, or ''."""
     runs = F.transform(F.regexp_extract_all(norm_ws(c), F.lit(rf"[{HAN}·]{{2,10}}"), F.lit(0)), clean_name)
-    named = F.filter(runs, lambda n: looks_like_name(n) & ~contains_any(n, rules.NAME_NOISE))
+    named = F.filter(runs, lambda n: n.rlike(_NAME) & ~contains_any(n, rules.NAME_NOISE))
     return F.coalesce(F.get(named, F.lit(0)), F.lit(""))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules
-from .text import SPACE, clean_intro, col, html_to_text, norm_ws, text_of
+from .text import SPACE, clean_intro, col, html_to_text, let, norm_ws, text_of
 from .url import host
 
 
@@ -17,18 +17,16 @@ def _ends(c: Column, suffixes: tuple[str, ...]) -> Column:
 
 
 def looks_like_school(c: Column | str) -> Column:
-    n = norm_ws(c)
-    return (F.length(n) >= 4) & _ends(n, rules.SCHOOL_SUFFIXES) & ~n.contains("系")
+    return let(norm_ws(c), lambda n: (F.length(n) >= 4) & _ends(n, rules.SCHOOL_SUFFIXES) & ~n.contains("系"))
 
 
 def looks_like_college(c: Column | str) -> Column:
-    n = norm_ws(c)
-    return (F.length(n) >= 2) & _ends(n, rules.COLLEGE_SUFFIXES)
+    return let(norm_ws(c), lambda n: (F.length(n) >= 2) & _ends(n, rules.COLLEGE_SUFFIXES))
 
 
 def _placeholder(c: Column | str, suffixes: tuple[str, ...]) -> Column:
-    n = F.replace(F.lower(norm_ws(c)), F.lit(" "), F.lit(""))
-    return (n == "") | n.rlike(rf"^x{{2,}}(?:{'|'.join(suffixes)})$")
+    bare = F.replace(F.lower(norm_ws(c)), F.lit(" "), F.lit(""))
+    return bare.rlike(rf"^(?:x{{2,}}(?:{'|'.join(suffixes)}))?$") & ~bare.contains("\n")
 
 
 def is_placeholder_school(c: Column | str) -> Column:
@@ -50,8 +48,8 @@ def extract_school(c: Column | str) -> Column:
         *[F.regexp_extract_all(text_of(c), F.lit(rf"([\x{{4e00}}-\x{{9fa5}}A-Za-z0-9·（）()]+?{s})"), F.lit(1)) for s in rules.SCHOOL_SUFFIXES]
     )
     usable = F.filter(F.transform(found, org_name), looks_like_school)
-    ranked = F.array_sort(F.transform(usable, lambda x, i: F.struct((-F.length(x)).alias("size"), i.alias("at"), x.alias("found"))))
-    return F.coalesce(F.get(ranked, F.lit(0))["found"], F.lit(""))
+    ranked = F.transform(usable, lambda x, i: F.struct((-F.length(x)).alias("size"), i.alias("at"), x.alias("found")))
+    return F.coalesce(F.array_min(ranked)["found"], F.lit(""))
 
 
 def name_parts(c: Column | str) -> Column:
@@ -116,14 +114,17 @@ def join_school_by_host(rows: DataFrame, url: str, domains: DataFrame) -> DataFr
 def org_of_page(url: Column | str, page: Column | str) -> Column:
     """``struct<school, college>`` from the domain, then page title, meta title, end and beginning of the text."""
     p = text_of(page)
-    scopes = [
-        clean_intro(html_to_text(x))
-        for x in (F.regexp_extract(p, rules.PAGE_TITLE, 1), F.regexp_extract(p, rules.META_PAGE_TITLE, 1), F.right(p, F.lit(6000)), F.left(p, F.lit(12000)))
-    ]
-    schools = F.filter(F.array(school_by_domain(url), *[extract_school(s) for s in scopes]), lambda s: s != "")
-    school = F.coalesce(F.get(schools, F.lit(0)), F.lit(""))
-    colleges = F.filter(F.array(*[extract_college(s, school) for s in scopes]), lambda s: s != "")
-    return F.struct(school.alias("school"), F.coalesce(F.get(colleges, F.lit(0)), F.lit("")).alias("college"))
+    parts = F.array(F.regexp_extract(p, rules.PAGE_TITLE, 1), F.regexp_extract(p, rules.META_PAGE_TITLE, 1), F.right(p, F.lit(6000)), F.left(p, F.lit(12000)))
+    first = lambda found: F.coalesce(F.get(F.filter(found, lambda s: s != ""), F.lit(0)), F.lit(""))
+
+    def within(scopes: Column) -> Column:
+        school = first(F.concat(F.array(school_by_domain(url)), F.transform(scopes, extract_school)))
+        return let(
+            school,
+            lambda s: F.struct(s.alias("school"), first(F.transform(scopes, lambda x: extract_college(x, s))).alias("college")),
+        )
+
+    return let(F.transform(parts, lambda x: clean_intro(html_to_text(x))), within)
 
 
 def default_org(school: Column | str, college: Column | str, page_org: Column | None, stem: Column | str) -> Column:

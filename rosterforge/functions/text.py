@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,6 +25,11 @@ def text_of(c: Column | str) -> Column:
     return F.coalesce(col(c).cast("string"), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def contains_any(c: Column, tokens: tuple[str, ...]) -> Column:
     out = F.lit(False)
     for t in tokens:
@@ -80,8 +86,8 @@ def clean_intro(c: Column | str) -> Column:
 
 
 def truncate(c: Column | str, most: int) -> Column:
-    t = clean_intro(c)
-    return F.when(F.length(t) > most, F.concat(F.left(t, F.lit(most)), F.lit("..."))).otherwise(t)
+    short = lambda t: F.when(F.length(t) > most, F.concat(F.left(t, F.lit(most)), F.lit("..."))).otherwise(t)
+    return let(clean_intro(c), short)
 
 
 def compact(c: Column | str) -> Column:
@@ -94,12 +100,15 @@ def looks_like_navigation(c: Column | str) -> Column:
 
 
 def is_valid_intro(c: Column | str) -> Column:
-    t = clean_intro(c)
-    bad = F.lit(False)
-    for p in rules.BAD_INTRO_PREFIXES:
-        bad = bad | t.startswith(p)
-    contacts = sum((t.contains(x).cast("int") for x in rules.CONTACT_TOKENS), F.lit(0))
-    return (F.length(t) >= 8) & ~bad & (contacts < 2)
+
+    def judge(t: Column) -> Column:
+        bad = F.lit(False)
+        for p in rules.BAD_INTRO_PREFIXES:
+            bad = bad | t.startswith(p)
+        contacts = sum((t.contains(x).cast("int") for x in rules.CONTACT_TOKENS), F.lit(0))
+        return (F.length(t) >= 8) & ~bad & (contacts < 2)
+
+    return let(clean_intro(c), judge)
 
 
 def more_han_than_latin(c: Column | str) -> Column:
@@ -138,10 +147,8 @@ def first_body_line(text: Column | str) -> Column:
 
 def page_intro(page: Column | str, text: Column | str) -> Column:
     """Titled section, else meta description, else first line of content; at most 200 signs."""
-    meta = meta_description(page)
-    return truncate(
-        F.coalesce(F.nullif(section_intro(page), F.lit("")), F.when(is_valid_intro(meta), meta), first_body_line(text)), 200
-    )
+    meta = let(meta_description(page), lambda m: F.when(is_valid_intro(m), m))
+    return truncate(F.coalesce(F.nullif(section_intro(page), F.lit("")), meta, first_body_line(text)), 200)
 
 
 def card_intro(c: Column | str) -> Column:
@@ -154,8 +161,12 @@ def card_intro(c: Column | str) -> Column:
 
 def matches_with_offsets(text: Column, pattern: str) -> Column:
     """``array<struct<start, end, found>>``: the gaps and matches of a split give every offset, without a UDF."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
+    return let(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: _with_offsets(found, F.split(text, pattern, -1))
+    )
+
+
+def _with_offsets(found: Column, gaps: Column) -> Column:
     empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
     start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import rules
 from .names import clean_name
-from .text import HAN, contains_any, matches_with_offsets, norm_ws, text_of
+from .text import HAN, contains_any, let, matches_with_offsets, norm_ws, text_of
 
 #: How far from a name a rank may stand.
 NEAR = 40
@@ -21,15 +21,12 @@ def _pattern(alias: str) -> str:
 
 
 def collapse(c: Column) -> Column:
-    out = norm_ws(c)
-    for special, base in rules.COLLAPSED_TITLES.items():
-        out = F.when(out == special, base).otherwise(out)
-    return out
+    known = F.create_map(*[F.lit(x) for pair in rules.COLLAPSED_TITLES.items() for x in pair])
+    return let(norm_ws(c), lambda t: F.coalesce(F.try_element_at(known, t), t))
 
 
 def is_valid(c: Column) -> Column:
-    t = norm_ws(c)
-    return t.rlike(rf"[{HAN}A-Za-z]") & ~t.isin(*rules.INVALID_TITLES)
+    return let(norm_ws(c), lambda t: t.rlike(rf"[{HAN}A-Za-z]") & ~t.isin(*rules.INVALID_TITLES))
 
 
 def priority(c: Column) -> Column:
@@ -66,20 +63,24 @@ def first_in(source: Column | str) -> Column:
 
 def near_name(source: Column | str, name: Column | str) -> Column:
     """The rank nearest the name's first occurrence, within NEAR signs; then by priority, then the first."""
-    s, n = text_of(source), clean_name(name)
-    begin = F.instr(s, n) - 1
-    end = begin + F.length(n)
-    ranked = F.transform(
-        occurrences(s),
-        lambda m, i: F.struct(
-            F.when(m["end"] <= begin, begin - m["end"]).when(m["start"] >= end, m["start"] - end).otherwise(0).alias("distance"),
-            m["priority"].alias("priority"),
-            i.alias("at"),
-            m["title"].alias("title"),
-        ),
-    )
-    best = F.array_min(F.filter(ranked, lambda m: m["distance"] <= NEAR))["title"]
-    return F.when((n != "") & (begin >= 0), F.coalesce(best, F.lit(""))).otherwise(F.lit(""))
+    s = text_of(source)
+
+    def nearest(n: Column) -> Column:
+        return let(F.instr(s, n) - 1, lambda begin: F.when((n != "") & (begin >= 0), ranked(begin, begin + F.length(n))))
+
+    def ranked(begin: Column, end: Column) -> Column:
+        each = F.transform(
+            occurrences(s),
+            lambda m, i: F.struct(
+                F.when(m["end"] <= begin, begin - m["end"]).when(m["start"] >= end, m["start"] - end).otherwise(0).alias("distance"),
+                m["priority"].alias("priority"),
+                i.alias("at"),
+                m["title"].alias("title"),
+            ),
+        )
+        return F.array_min(F.filter(each, lambda m: m["distance"] <= NEAR))["title"]
+
+    return F.coalesce(let(clean_name(name), nearest), F.lit(""))
 
 
 def by_level(c: Column) -> Column:
@@ -119,30 +120,31 @@ def _filled(c: Column) -> Column:
 
 def labelled(source: Column | str) -> Column:
     """The rank behind a label: by level, by its words, else the first token of the value; ''."""
-    tries = []
-    for pattern in rules.TITLE_LABELS:
-        v = field_value(F.regexp_extract(text_of(source), pattern, 1))
+
+    def value(v: Column) -> Column:
         token = F.left(F.get(F.split(v, "[，,；;。/ ]"), F.lit(0)), F.lit(20))
-        tries += [_filled(x) for x in (by_level(v), first_in(v), by_priority(v), known_in(v), specific(v), token)]
-    return F.coalesce(*tries, F.lit(""))
+        return F.coalesce(*[_filled(x) for x in (by_level(v), first_in(v), by_priority(v), known_in(v), specific(v), token)])
+
+    captured = F.array(*[F.regexp_extract(text_of(source), p, 1) for p in rules.TITLE_LABELS])
+    found = F.filter(F.transform(captured, lambda c: let(field_value(c), value)), lambda t: t.isNotNull())
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
 
 
 def extract(text: Column | str, context: Column | str, name: Column | str, ocr: Column | str | None = None) -> Column:
     """Per source, context first: labelled, near the name, anywhere; the first that is a rank."""
-    tries = []
-    for source in (context, text, *([ocr] if ocr is not None else [])):
-        s = norm_ws(source)
-        for found in (labelled(s), near_name(s, name), first_in(s)):
-            tries.append(F.when(is_valid(found), found))
-    return F.coalesce(*tries, F.lit(""))
+    kept = lambda x: F.when(is_valid(x), x)
+    steps = lambda s: F.coalesce(let(labelled(s), kept), let(near_name(s, name), kept), let(first_in(s), kept))
+    sources = (context, text, *([ocr] if ocr is not None else []))
+    found = F.filter(F.transform(F.array(*map(text_of, sources)), lambda s: let(norm_ws(s), steps)), lambda t: t.isNotNull())
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
 
 
 def normalise(c: Column | str) -> Column:
     """A rank's normal form; unknown ranks as they are."""
-    t = norm_ws(c)
-    return F.coalesce(
+    steps = lambda t: F.coalesce(
         _filled(collapse(specific(t))), _filled(collapse(first_in(t))), _filled(by_priority(t)), _filled(collapse(known_in(t))), collapse(t)
     )
+    return let(norm_ws(c), steps)
 
 
 def of_name(c: Column | str) -> Column:
@@ -155,10 +157,13 @@ def context_of(text: Column | str, name: Column | str, before: int = 20, after:
     """The text around the name's first occurrence; ''."""
     from .text import strip
 
-    t, n = strip(text_of(text)), clean_name(name)
-    at = F.instr(t, n)
-    start = F.greatest(at - before, F.lit(1))
-    return F.when((t != "") & (n != "") & (at > 0), F.substr(t, start, at + F.length(n) + after - start)).otherwise(F.lit(""))
+    def around(t: Column, n: Column) -> Column:
+        at = F.instr(t, n)
+        start = F.greatest(at - before, F.lit(1))
+        return F.when((t != "") & (n != "") & (at > 0), F.substr(t, start, at + F.length(n) + after - start))
+
+    found = let(strip(text_of(text)), lambda t: let(clean_name(name), lambda n: around(t, n)))
+    return F.coalesce(found, F.lit(""))
 
 
 def needs_ocr(page: Column | str, text: Column | str, images: Column) -> Column:
