@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 #: White space as Python's ``str.isspace`` sees it, written for Java and RE2 patterns alike.
 SPACE = r"\x09-\x0d\x1c-\x20\x85\p{Z}"
 
+#: The same signs one by one, for trimming.
+SPACES = "".join(chr(n) for n in range(0x3001) if chr(n).isspace())
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The columns of one table of a data folder; only these reach the scan."""
@@ -19,8 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def stripped(c: Column | str) -> Column:
     """The text without leading and trailing white space of any kind."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(SPACES))
 
 
 def is_blank(c: Column | str) -> Column:

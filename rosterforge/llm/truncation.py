@@ -48,8 +48,16 @@ MARK = (
 STOP = r"[。.!?！？][”\"’』」）)\]】]*$"
 
 
+#: More signs than any mark or stop with its closing marks has; only these are looked at for one.
+LAST = 80
+
+
 def marked(text: Column) -> Column:
-    return text.rlike("(?i)" + MARK) & ~text.rlike(r"[^.]\.$")
+    return F.right(text, F.lit(LAST)).rlike("(?i)" + MARK)
+
+
+def stopped_at_end(text: Column) -> Column:
+    return F.right(text, F.lit(LAST)).rlike(STOP)
 
 
 def sentences(text: Column) -> Column:
@@ -63,13 +71,13 @@ def masked(text: Column) -> Column:
 
 def opening(sentence: Column) -> Column:
     """The first two words of a sentence in Latin letters, else its first four signs; numbers are masked."""
-    m = masked(sentence)
+    m = masked(F.left(sentence, F.lit(LAST)))
     return F.when(m.rlike(r"^[A-Za-z]"), F.regexp_extract(m, r"^(\S+(?:\s+\S+)?)", 1)).otherwise(F.left(m, F.lit(OPENING)))
 
 
 def ending(sentence: Column) -> Column:
     """The last word in Latin letters, else the last two signs; numbers are masked."""
-    m = masked(sentence)
+    m = masked(F.right(sentence, F.lit(LAST)))
     return F.when(m.rlike(r"[A-Za-z]$"), F.regexp_extract(m, r"([^\s,，、]+)$", 1)).otherwise(F.right(m, F.lit(2)))
 
 
@@ -128,10 +136,9 @@ def openings(cells: DataFrame) -> DataFrame:
     )
     counted = checkpointed(
         each.groupBy(opening(F.col("sentence")).alias("opening")).agg(
-            F.count_if(F.col("sentence").rlike(STOP)).alias("n_stop"),
-            F.count_if(~F.col("sentence").rlike(STOP)).alias("n_open"),
+            F.count_if(stopped_at_end(F.col("sentence"))).alias("n_stop"), F.count("*").alias("n")
         )
-    )
+    ).withColumn("n_open", F.col("n") - F.col("n_stop"))
     total = counted.agg(F.sum(F.col("n_stop") + F.col("n_open"))).first()[0] or 0
     return counted.where(
         (F.col("n_stop") + F.col("n_open") >= 3)
@@ -147,7 +154,7 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         )
         .where(~is_blank("text"))
         .withColumn("marked", marked(F.col("text")))
-        .withColumn("unfinished", F.col("marked") | ~F.col("text").rlike(STOP))
+        .withColumn("unfinished", F.col("marked") | ~stopped_at_end(F.col("text")))
         .withColumn("n_chars", F.length("text"))
         .withColumn("n_bytes", F.octet_length("text"))
         .withColumn("sentences", sentences(F.col("text")))
