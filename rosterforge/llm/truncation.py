@@ -37,7 +37,8 @@ OPENING = 4
 FREE_SHARE = 0.7
 #: Uses of an opening from which its endings are judged, and the least share of a good ending.
 JUDGED_FROM, ENDING_SHARE = 500, 0.002
-#: Spike: least number and share of unfinished texts at the length, share of longer texts at most, factor over the mean.
+#: Spike: least number and share of unfinished texts at the length, share of longer texts at most, factor over the
+#: mean of the other lengths.
 SPIKE_LEAST, SPIKE_OPEN, SPIKE_BEYOND, SPIKE_FACTOR = 3, 0.6, 0.08, 4.0
 
 # What is put or left at a cut.
@@ -114,7 +115,7 @@ def spikes(cells: DataFrame) -> DataFrame:
         near_all.alias("near_all"),
         F.sum("n").over(of).alias("total"),
         (F.sum("n").over(of) - F.sum("n").over(upward.rangeBetween(Window.unboundedPreceding, 0))).alias("beyond"),
-        (F.sum("n_open").over(of) / F.count("*").over(of)).alias("usual"),
+        ((F.sum("n_open").over(of) - near) / F.count("*").over(of)).alias("usual"),
     ).where(
         (F.col("near") >= SPIKE_LEAST)
         & (F.col("near") >= F.col("near_all") * F.lit(SPIKE_OPEN))
