@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, checkpointed, is_blank, stripped
 
+#: Most sources whose limits are broadcast; beyond that they are joined by shuffle.
+BROADCAST_LIMITS = 200_000
 #: Openings with fewer than one in SUPPORT of all sentences aren't kept; hence at most SUPPORT of them are.
 SUPPORT = 20_000
 #: Characters that make an opening in writing without spaces.
@@ -131,9 +133,12 @@ def spikes(cells: DataFrame) -> DataFrame:
 
 
 def openings(cells: DataFrame) -> DataFrame:
-    """``opening, n_stop, n_open`` of every opening with enough sentences; at most SUPPORT rows."""
-    each = cells.select(F.posexplode("sentences").alias("at", "sentence"), F.size("sentences").alias("n"), "marked").where(
-        ~(F.col("marked") & (F.col("at") == F.col("n") - 1))
+    """``opening, n_stop, n_open`` of every opening with enough sentences; at most SUPPORT rows.
+
+    The last fragments of ``cut`` cells, marked or at a limit, say nothing about how their like end.
+    """
+    each = cells.select(F.posexplode("sentences").alias("at", "sentence"), F.size("sentences").alias("n"), "cut").where(
+        ~(F.col("cut") & (F.col("at") == F.col("n") - 1))
     )
     counted = checkpointed(
         each.groupBy(opening(F.col("sentence")).alias("opening")).agg(
@@ -160,18 +165,6 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         .withColumn("n_bytes", F.octet_length("text"))
         .withColumn("sentences", sentences(F.col("text")))
     )
-    known = openings(cells)
-    free = known.where(F.col("n_open") >= (F.col("n_open") + F.col("n_stop")) * F.lit(FREE_SHARE)).select(
-        "opening", F.col("n_open").alias("uses"), F.lit(True).alias("free")
-    )
-    stopped = known.where(F.col("n_stop") * 2 >= F.col("n_open") + F.col("n_stop")).select("opening", F.lit(True).alias("stopped"))
-    begun = (
-        known.select(F.explode(F.sequence(F.lit(1), F.greatest(F.length("opening") - 1, F.lit(1)))).alias("k"), "opening")
-        .where(F.col("k") < F.length("opening"))
-        .select(F.expr("left(opening, k)").alias("fragment"))
-        .distinct()
-        .withColumn("begun", F.lit(True))
-    )
     tail = F.coalesce(F.try_element_at("sentences", F.lit(-1)), F.lit(""))
     # One scan gives lengths of all cells and what is judged of the unfinished ones; both are read several times.
     scanned = checkpointed(
@@ -184,6 +177,29 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
             F.when(F.col("unfinished"), F.col("marked")).alias("marked"),
         )
     )
+    limits = checkpointed(spikes(scanned))
+    if limits.count() <= BROADCAST_LIMITS:
+        limits = F.broadcast(limits)
+    at_limit = F.coalesce(
+        F.when(F.col("unit") == "chars", F.col("n_chars") == F.col("top")).otherwise(
+            F.col("n_bytes").between(F.col("top") - 2, F.col("top"))
+        ),
+        F.lit(False),
+    )
+    known = openings(
+        cells.join(limits, "source", "left").withColumn("cut", F.col("marked") | (F.col("unfinished") & at_limit))
+    )
+    free = known.where(F.col("n_open") >= (F.col("n_open") + F.col("n_stop")) * F.lit(FREE_SHARE)).select(
+        "opening", F.col("n_open").alias("uses"), F.lit(True).alias("free")
+    )
+    stopped = known.where(F.col("n_stop") * 2 >= F.col("n_open") + F.col("n_stop")).select("opening", F.lit(True).alias("stopped"))
+    begun = (
+        known.select(F.explode(F.sequence(F.lit(1), F.greatest(F.length("opening") - 1, F.lit(1)))).alias("k"), "opening")
+        .where(F.col("k") < F.length("opening"))
+        .select(F.expr("left(opening, k)").alias("fragment"))
+        .distinct()
+        .withColumn("begun", F.lit(True))
+    )
     opened = scanned.where("unfinished").select(
         "id",
         "source",
@@ -208,13 +224,7 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         .join(F.broadcast(stopped), "opening", "left")
         .join(F.broadcast(endings), ["opening", "ending"], "left")
         .join(F.broadcast(begun), "fragment", "left")
-        .join(spikes(scanned), "source", "left")
-    )
-    at_limit = F.coalesce(
-        F.when(F.col("unit") == "chars", F.col("n_chars") == F.col("top")).otherwise(
-            F.col("n_bytes").between(F.col("top") - 2, F.col("top"))
-        ),
-        F.lit(False),
+        .join(limits, "source", "left")
     )
     whole = F.col("free").isNotNull() & ((F.col("uses") < JUDGED_FROM) | F.col("good").isNotNull())
     reason = (
