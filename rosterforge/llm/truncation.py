@@ -56,7 +56,8 @@ LAST = 80
 
 
 def marked(text: Column) -> Column:
-    return F.right(text, F.lit(LAST)).rlike("(?i)" + MARK)
+    last = F.right(text, F.lit(LAST))
+    return last.rlike(r"[&<\\%]|[.…\])】）>》»]$") & last.rlike("(?i)" + MARK)
 
 
 def stopped_at_end(text: Column) -> Column:
@@ -74,7 +75,7 @@ def masked(text: Column) -> Column:
 
 def opening(sentence: Column) -> Column:
     """The first two words of a sentence in Latin letters, else its first four signs; numbers are masked."""
-    m = masked(F.left(sentence, F.lit(LAST)))
+    m = masked(F.left(sentence, F.lit(LAST // 2)))
     return F.when(m.rlike(r"^[A-Za-z]"), F.regexp_extract(m, r"^(\S+(?:\s+\S+)?)", 1)).otherwise(F.left(m, F.lit(OPENING)))
 
 
