@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import duplicates, garbled, levels, lookalike, mapping, packing, residue, tokens, truncation
-from .common import is_blank, table
+from .common import SPACE, is_blank, table
 
 P1_FIELDS = ("name", "profile_url", "email")
 
@@ -240,5 +240,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _p1_keys() -> str:
+    def value(c: str) -> str:
+        bare = f"regexp_replace(lower(upper({c})), '[\\p{{P}}\\p{{S}}{SPACE}]+', '', 'g')"
+        return f"CASE WHEN {c} IS NULL OR NOT regexp_matches({c}, '[^{SPACE}]') THEN '' WHEN {bare} = '' THEN chr(1) ELSE {bare} END"
+
+    return f"SELECT row_id, list_sort(list_distinct([{', '.join(map(value, P1_FIELDS))}])) AS k FROM template_rows"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that SQL can express; the others are tested against brute force and round trips."""
+    keys = f"WITH t AS ({_p1_keys()})"
+    return {
+        "p1_found": f"{keys} SELECT a.row_id AS row_id_a, b.row_id AS row_id_b FROM t a JOIN t b ON a.k = b.k AND a.row_id < b.row_id",
+        "p1_groups": f"{keys} SELECT min(row_id) AS representative, count(*) AS copies FROM t GROUP BY k",
+    }
