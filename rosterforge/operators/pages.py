@@ -85,10 +85,11 @@ def list_widgets(pages: DataFrame, most: int | None = None) -> DataFrame:
         ).alias("w", "widget"),
         p.alias("html"),
     ).select("url", "w", "widget.prefix", F.col("widget.titles").alias("titles"), "html")
-    array_of = lambda kind: F.expr(  # noqa: E731 - the pattern differs from row to row
-        rf"regexp_extract(html, concat('(?i)var\\s+', prefix, '_{kind}\\s*=\\s*(\\[[\\s\\S]*?\\]);'), 1)"
+    of_prefix = lambda before, after: F.concat(F.lit(before), F.col("prefix"), F.lit(after))
+    array_of = lambda kind: F.coalesce(
+        F.get(F.regexp_extract_all("html", of_prefix(r"(?i)var\s+", rf"_{kind}\s*=\s*(\[[\s\S]*?\]);"), F.lit(1)), F.lit(0)), F.lit("[]")
     )
-    link = r"concat('(?i)<a[^>]+id=[\"\\']', prefix, '_(\\d+)_a[\"\\'][^>]+href=[\"\\']([^\"\\']+)[\"\\']')"
+    hidden = of_prefix(r"(?i)<a[^>]+id=[\"']", r"_(\d+)_a[\"'][^>]+href=[\"']([^\"']+)[\"']")
     zipped = F.arrays_zip(
         as_array(F.col("titles")).alias("title"), as_array(array_of("id")).alias("id"), as_array(array_of("summary")).alias("summary")
     )
@@ -96,8 +97,12 @@ def list_widgets(pages: DataFrame, most: int | None = None) -> DataFrame:
     links = widgets.select(
         "url",
         "prefix",
-        F.explode(F.expr(f"arrays_zip(regexp_extract_all(html, {link}, 1), regexp_extract_all(html, {link}, 2))")).alias("l"),
-    ).select("url", "prefix", F.col("l.0").alias("id"), F.col("l.1").alias("href"))
+        F.explode(
+            F.arrays_zip(
+                F.regexp_extract_all("html", hidden, F.lit(1)).alias("id"), F.regexp_extract_all("html", hidden, F.lit(2)).alias("href")
+            )
+        ).alias("l"),
+    ).select("url", "prefix", "l.id", "l.href")
     links = links.groupBy("url", "prefix", "id").agg(F.last("href").alias("href"))
     joined = items.where("title IS NOT NULL AND id IS NOT NULL").join(links, ["url", "prefix", "id"])
     summary = F.coalesce("summary", F.lit(""))
