@@ -38,7 +38,7 @@ def identity(prefix: str = "") -> Column:
 
 def quality(prefix: str = "") -> Column:
     """Struct of nine numbers, compared in order; greater is better."""
-    c = {f: norm_ws(F.col(prefix + f)) for f in rules.COLUMNS}
+    c = {f: norm_ws(F.col(prefix + f)) for f in rules.REQUIRED}
     name = clean_name(c["name"])
     parts = (
         org.looks_like_school(c["school"]) & ~org.is_placeholder_school(c["school"]),
@@ -102,13 +102,13 @@ def upserted(existing: DataFrame, new: DataFrame, order: str = "ord") -> DataFra
 
     Existing rows come first in order, and win ties.
     """
-    both = existing.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
+    both = existing.drop("seq").withColumn("_batch", F.lit(0)).unionByName(new.drop("seq").withColumn("_batch", F.lit(1)))
     last = existing.agg(F.coalesce(F.max(order), F.lit(-1)).alias("_last"))
     placed = both.join(F.broadcast(last)).withColumn(
         order, F.when(F.col("_batch") == 1, F.col(order) + F.col("_last") + 1).otherwise(F.col(order))
     ).drop("_batch", "_last")
     merged = sanitised(best_rows(sanitised(placed), order))
-    return numbered(merged.drop("seq"), [order], "seq")
+    return numbered(merged, [order], "seq")
 
 
 # --- merging of profiles ---------------------------------------------------------------------------------------
