@@ -171,7 +171,7 @@ def test_forward_fill_over_buckets(spark):
 
 def test_listing_pages(spark):
     link = '<a href="/info/1/%d.htm">%s</a>'
-    page = link % (1, "张三 副教授") + link % (2, "更多") + link % (1, "张三 副教授") + link % (3, "李四")
+    page = link % (1, "张三 副教授") + link % (2, "more") + link % (1, "张三 副教授") + link % (3, "李四")
     widget = "var u_u1_title = ['王五','赵六'];var u_u1_id = ['7','8'];<a id='u_u1_7_a' href='/p/7.htm'>"
     df = spark.createDataFrame([("https://x.cn/l", page), ("https://x.cn/w", widget), ("https://x.cn/n", "")], "url string, html string")
     got = {(r["url"], r["at"]): (r["name"], r["profile_url"], r["title"]) for r in pages.list_items(df).collect()}
