@@ -11,7 +11,9 @@ column are counted by how they open: where sentences that open alike nearly
 always end with a stop, one that doesn't was cut, and so was a last fragment
 that is only the beginning of such an opening. Openings that never end with a
 stop (addresses, lists, dates of change) make whole texts, provided they end as
-their like do.
+their like do. That is judged by shares alone, so it doesn't turn with the size
+of the input: the less an opening's endings vary, the more a rare one tells. A
+text at a limit is no evidence, and is whole only if others end as it does.
 
 Only counts shuffle: lengths per source, openings, and endings of unfinished
 texts. Openings and endings with less than a fixed share of all sentences are
@@ -37,8 +39,9 @@ SUPPORT = 20_000
 OPENING = 4
 #: Share of unfinished sentences from which an opening counts as one that needs no stop.
 FREE_SHARE = 0.7
-#: Uses of an opening from which its endings are judged, and the least share of a good ending.
-JUDGED_FROM, ENDING_SHARE = 500, 0.002
+#: Least share of a good ending, as a part of the share a typical ending of its opening has, or in any case among the
+#: opening's other texts.
+ENDING_TYPICAL, ENDING_SHARE = 0.2, 0.01
 #: Spike: least number and share of unfinished texts at the length, share of longer texts at most, factor over the
 #: mean of the other lengths.
 SPIKE_LEAST, SPIKE_OPEN, SPIKE_BEYOND, SPIKE_FACTOR = 3, 0.6, 0.08, 4.0
@@ -153,6 +156,16 @@ def openings(cells: DataFrame) -> DataFrame:
     )
 
 
+def good_endings(tails: DataFrame) -> DataFrame:
+    """``opening, ending, good`` of the endings that whole texts have; ``tails`` has opening and ending."""
+    counted = checkpointed(tails.groupBy("opening", "ending").agg(F.count("*").cast("double").alias("n")))
+    # pairs / (uses * (uses - 1)) is the chance that two texts of an opening end alike: the share of a typical ending.
+    uses = counted.groupBy("opening").agg(F.sum("n").alias("uses"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"))
+    typical = F.col("n") * (F.col("uses") - 1) >= F.col("pairs") * F.lit(ENDING_TYPICAL)
+    frequent = F.col("n") - 1 >= (F.col("uses") - 1) * F.lit(ENDING_SHARE)
+    return counted.join(uses, "opening").where(typical | frequent).select("opening", "ending", F.lit(True).alias("good"))
+
+
 def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame:
     """``id, source, text, reason`` of every cut text; reason is 'mark', 'limit' or 'sentence'."""
     cells = (
@@ -191,7 +204,7 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         cells.join(limits, "source", "left").withColumn("cut", F.col("marked") | (F.col("unfinished") & at_limit))
     )
     free = known.where(F.col("n_open") >= (F.col("n_open") + F.col("n_stop")) * F.lit(FREE_SHARE)).select(
-        "opening", F.col("n_open").alias("uses"), F.lit(True).alias("free")
+        "opening", F.lit(True).alias("free")
     )
     stopped = known.where(F.col("n_stop") * 2 >= F.col("n_open") + F.col("n_stop")).select("opening", F.lit(True).alias("stopped"))
     begun = (
@@ -201,36 +214,27 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         .distinct()
         .withColumn("begun", F.lit(True))
     )
-    opened = scanned.where("unfinished").select(
+    opened = scanned.where("unfinished").join(limits, "source", "left").select(
         "id",
         "source",
         "text",
         "marked",
-        "n_chars",
-        "n_bytes",
+        at_limit.alias("at_limit"),
         opening(F.col("tail")).alias("opening"),
         ending(F.col("tail")).alias("ending"),
         masked(F.col("tail")).alias("fragment"),
     )
-    endings = (
-        opened.where(~F.col("marked"))
-        .join(F.broadcast(free.where(F.col("uses") >= JUDGED_FROM)), "opening")
-        .groupBy("opening", "ending", "uses")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= F.greatest(F.lit(2.0), F.col("uses") * F.lit(ENDING_SHARE)))
-        .select("opening", "ending", F.lit(True).alias("good"))
-    )
+    endings = good_endings(opened.where(~F.col("marked") & ~F.col("at_limit")).join(F.broadcast(free), "opening"))
     judged = (
         opened.join(F.broadcast(free), "opening", "left")
         .join(F.broadcast(stopped), "opening", "left")
         .join(F.broadcast(endings), ["opening", "ending"], "left")
         .join(F.broadcast(begun), "fragment", "left")
-        .join(limits, "source", "left")
     )
-    whole = F.col("free").isNotNull() & ((F.col("uses") < JUDGED_FROM) | F.col("good").isNotNull())
+    whole = F.col("free").isNotNull() & F.col("good").isNotNull()
     reason = (
         F.when(F.col("marked"), "mark")
-        .when(at_limit & ~F.coalesce(whole, F.lit(False)), "limit")
+        .when(F.col("at_limit") & ~whole, "limit")
         .when(F.col("stopped") | F.col("begun") | (F.col("free") & ~whole), "sentence")
     )
     return judged.withColumn("reason", reason).where("reason IS NOT NULL").select("id", "source", "text", "reason")

@@ -47,3 +47,22 @@ def test_empty_table(spark):
 def test_very_long_text(spark):
     rows = corpus() + [(500, "a", "Works on soil. " * 20000 + "Works on so", None)]
     assert cut(spark, rows)[500] == "sentence"
+
+
+def test_endings_of_rare_free_openings(spark):
+    rows = corpus() + [(500 + i, "a", f"{WHOLE[i % 3]} Last updated October {i}", None) for i in range(40)]
+    rows += [(600, "a", WHOLE[0] + " Last updated Octobe", None)]
+    # endings that seldom come twice tell nothing
+    words = [a + b for a in "bdfgklmnprst" for b in ("ore", "ink", "ath", "ell", "oom")]
+    rows += [(700 + i, "a", f"{WHOLE[i % 3]} Research interests: {w}", None) for i, w in enumerate(words)]
+    got = cut(spark, rows)
+    assert got == {600: "sentence"}
+
+
+def test_at_a_limit_only_a_proven_ending_spares(spark):
+    rows = corpus() + [(800 + i, "d", f"{WHOLE[i % 3]} Last updated October {i}", None) for i in range(12)]
+    rows += [(900 + i, "e", ("A" * (i % 7 + 20) + ". Last updated October 20")[:40], None) for i in range(12)]
+    rows += [(950, "e", "A" * 15 + ". Last updated October 7", None)]
+    assert len(rows[-1][2]) == 39 and cut(spark, rows) == {900 + i: "limit" for i in range(12)}
+    rows[-1] = (950, "e", "A" + rows[-1][2], None)
+    assert cut(spark, rows) == {900 + i: "limit" for i in range(12)}
