@@ -44,8 +44,10 @@ def org_name(c: Column | str) -> Column:
 
 def extract_school(c: Column | str) -> Column:
     """Longest part that looks like a school, the first of equals; '' if none does."""
+    signs = r"[\x{4e00}-\x{9fa5}A-Za-z0-9·（）()]+"
+    # The second alternative takes what holds no further suffix at once, where the lazy one would be tried at every sign.
     found = F.concat(
-        *[F.regexp_extract_all(text_of(c), F.lit(rf"([\x{{4e00}}-\x{{9fa5}}A-Za-z0-9·（）()]+?{s})"), F.lit(1)) for s in rules.SCHOOL_SUFFIXES]
+        *[F.regexp_extract_all(text_of(c), F.lit(rf"({signs}?{s})|{signs}"), F.lit(1)) for s in rules.SCHOOL_SUFFIXES]
     )
     usable = F.filter(F.transform(found, org_name), looks_like_school)
     ranked = F.transform(usable, lambda x, i: F.struct((-F.length(x)).alias("size"), i.alias("at"), x.alias("found")))

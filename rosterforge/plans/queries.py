@@ -154,10 +154,14 @@ def org_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def org_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """School and college named in the first 200 signs of every captured text."""
-    head = F.left(text.norm_ws("text"), F.lit(200))
-    school = org.extract_school(head)
-    return table(spark, sf_dir, "documents").select("doc_id", school.alias("school"), org.extract_college(head, school).alias("college"))
+    """School and college named in every captured text."""
+    named = text.let(
+        text.norm_ws("text"),
+        lambda t: text.let(
+            org.extract_school(t), lambda school: F.struct(school.alias("school"), org.extract_college(t, school).alias("college"))
+        ),
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", named.alias("named")).select("doc_id", "named.school", "named.college")
 
 
 _FORWARD = f"""

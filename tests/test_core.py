@@ -9,6 +9,7 @@ from rosterforge.operators import drift, enrich, merge, pages, report, seeds
 from rosterforge.operators.assignment import best_matching
 from rosterforge.operators.common import components, numbered
 from rosterforge.plans import pipeline
+from rosterforge.plans import queries as registered
 
 
 def one(spark, column, **values):
@@ -68,6 +69,21 @@ def test_organisations(spark):
     assert one(spark, org.clean_stem("a"), a="甲大学__教师列表(2)") == "甲大学"
 
 
+def test_organisations_anywhere_in_a_text(spark, tmp_path):
+    far = "，" + "研究海流模拟。" * 60
+    rows = {
+        1: (f"简介{far}毕业于甲乙丙大学，\n任教至今", "毕业于甲乙丙大学", ""),
+        2: (f"甲大学校友{far}甲乙丙丁大学。-物理系-数学学院", "甲乙丙丁大学", "数学学院"),
+        3: ("某" * 100_000 + "大学，" + "某" * 100_000 + "，甲乙丙大学", "某" * 100_000 + "大学", ""),
+        4: ("某" * 100_000, "", ""),
+        5: (None, "", ""),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in rows.items()], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["school"], r["college"]) for r in registered.org_in_text(spark, str(tmp_path)).collect()}
+    assert got == {i: (school, college) for i, (_, school, college) in rows.items()}
+
+
 def test_mail(spark):
     assert one(spark, email.undisguise("a"), a="a [at] b (dot) cn。x") == "a@b.cn.x"
     page, body = "", "邮箱：zhang@x.edu.cn 联系电话 123"
