@@ -16,8 +16,8 @@ of the input: the less an opening's endings vary, the more a rare one tells. A
 text at a limit is no evidence, and is whole only if others end as it does.
 
 Only counts shuffle: lengths per source, openings, and endings of unfinished
-texts. Openings and endings with less than a fixed share of all sentences are
-dropped from the counts, which bounds what is broadcast.
+texts. Where openings or endings are too many to be broadcast, the frequent ones
+are, and the others are joined by shuffle; none is dropped for its share.
 
 Defined results: blank cells are never cut; a NULL source is one source;
 repeated texts count as often as they occur; an empty table has no cut texts;
@@ -33,8 +33,11 @@ from .common import SPACE, checkpointed, is_blank, stripped
 
 #: Most sources whose limits are broadcast; beyond that they are joined by shuffle.
 BROADCAST_LIMITS = 200_000
-#: Openings with fewer than one in SUPPORT of all sentences aren't kept; hence at most SUPPORT of them are.
-SUPPORT = 20_000
+#: Most keys (openings, endings, fragments) broadcast whole; beyond that only those with one in SUPPORT of all uses or
+#: more are, at most SUPPORT, and the others are joined by shuffle.
+BROADCAST_KEYS, SUPPORT = 100_000, 20_000
+#: Sentences from which an opening counts, whatever the size of the input.
+LEAST_USES = 3
 #: Characters that make an opening in writing without spaces.
 OPENING = 4
 #: Share of unfinished sentences from which an opening counts as one that needs no stop.
@@ -137,7 +140,7 @@ def spikes(cells: DataFrame) -> DataFrame:
 
 
 def openings(cells: DataFrame) -> DataFrame:
-    """``opening, n_stop, n_open`` of every opening with enough sentences; at most SUPPORT rows.
+    """``opening, n_stop, n, n_open`` of every opening with enough sentences.
 
     The last fragments of ``cut`` cells, marked or at a limit, say nothing about how their like end.
     """
@@ -149,21 +152,29 @@ def openings(cells: DataFrame) -> DataFrame:
             F.count_if(stopped_at_end(F.col("sentence"))).alias("n_stop"), F.count("*").alias("n")
         )
     ).withColumn("n_open", F.col("n") - F.col("n_stop"))
-    total = counted.agg(F.sum(F.col("n_stop") + F.col("n_open"))).first()[0] or 0
-    return counted.where(
-        (F.col("n_stop") + F.col("n_open") >= 3)
-        & ((F.col("n_stop") + F.col("n_open")) * F.lit(SUPPORT) >= F.lit(total))
-    )
+    return counted.where(F.col("n") >= LEAST_USES)
+
+
+def looked_up(rows: DataFrame, keyed: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """``rows`` left-joined with the checkpointed ``keyed``, whose column ``n`` has the uses of each key and is dropped."""
+    size, total = keyed.agg(F.count("*"), F.sum(n)).first()
+    if size <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(keyed.drop(n)), keys, "left")
+    is_hot = F.col(n) * F.lit(SUPPORT) >= F.lit(total)
+    hot, others = keyed.where(is_hot).drop(n), keyed.where(~is_hot).drop(n)
+    found = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(others.hint("shuffle_hash"), keys, "left")
+    return found.unionByName(rest)
 
 
 def good_endings(tails: DataFrame) -> DataFrame:
-    """``opening, ending, good`` of the endings that whole texts have; ``tails`` has opening and ending."""
+    """``opening, ending, n, good`` of the endings that whole texts have; ``tails`` has opening and ending."""
     counted = checkpointed(tails.groupBy("opening", "ending").agg(F.count("*").cast("double").alias("n")))
     # pairs / (uses * (uses - 1)) is the chance that two texts of an opening end alike: the share of a typical ending.
     uses = counted.groupBy("opening").agg(F.sum("n").alias("uses"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"))
     typical = F.col("n") * (F.col("uses") - 1) >= F.col("pairs") * F.lit(ENDING_TYPICAL)
     frequent = F.col("n") - 1 >= (F.col("uses") - 1) * F.lit(ENDING_SHARE)
-    return counted.join(uses, "opening").where(typical | frequent).select("opening", "ending", F.lit(True).alias("good"))
+    return counted.join(uses, "opening").where(typical | frequent).select("opening", "ending", "n", F.lit(True).alias("good"))
 
 
 def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame:
@@ -203,15 +214,13 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
     known = openings(
         cells.join(limits, "source", "left").withColumn("cut", F.col("marked") | (F.col("unfinished") & at_limit))
     )
-    free = known.where(F.col("n_open") >= (F.col("n_open") + F.col("n_stop")) * F.lit(FREE_SHARE)).select(
-        "opening", F.lit(True).alias("free")
-    )
-    stopped = known.where(F.col("n_stop") * 2 >= F.col("n_open") + F.col("n_stop")).select("opening", F.lit(True).alias("stopped"))
-    begun = (
-        known.select(F.explode(F.sequence(F.lit(1), F.greatest(F.length("opening") - 1, F.lit(1)))).alias("k"), "opening")
+    is_free = F.col("n_open") >= F.col("n") * F.lit(FREE_SHARE)
+    known = known.select("opening", "n", is_free.alias("free"), (F.col("n_stop") * 2 >= F.col("n")).alias("stopped"))
+    begun = checkpointed(
+        known.select(F.explode(F.sequence(F.lit(1), F.greatest(F.length("opening") - 1, F.lit(1)))).alias("k"), "opening", "n")
         .where(F.col("k") < F.length("opening"))
-        .select(F.expr("left(opening, k)").alias("fragment"))
-        .distinct()
+        .groupBy(F.expr("left(opening, k)").alias("fragment"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("begun", F.lit(True))
     )
     opened = scanned.where("unfinished").join(limits, "source", "left").select(
@@ -224,14 +233,10 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         ending(F.col("tail")).alias("ending"),
         masked(F.col("tail")).alias("fragment"),
     )
-    endings = good_endings(opened.where(~F.col("marked") & ~F.col("at_limit")).join(F.broadcast(free), "opening"))
-    judged = (
-        opened.join(F.broadcast(free), "opening", "left")
-        .join(F.broadcast(stopped), "opening", "left")
-        .join(F.broadcast(endings), ["opening", "ending"], "left")
-        .join(F.broadcast(begun), "fragment", "left")
-    )
-    whole = F.col("free").isNotNull() & F.col("good").isNotNull()
+    opened = looked_up(opened, known, ["opening"], "n")
+    endings = checkpointed(good_endings(opened.where(F.col("free") & ~F.col("marked") & ~F.col("at_limit"))))
+    judged = looked_up(looked_up(opened, endings, ["opening", "ending"], "n"), begun, ["fragment"], "n")
+    whole = F.coalesce(F.col("free"), F.lit(False)) & F.col("good").isNotNull()
     reason = (
         F.when(F.col("marked"), "mark")
         .when(F.col("at_limit") & ~whole, "limit")

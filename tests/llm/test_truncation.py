@@ -66,3 +66,14 @@ def test_at_a_limit_only_a_proven_ending_spares(spark):
     assert len(rows[-1][2]) == 39 and cut(spark, rows) == {900 + i: "limit" for i in range(12)}
     rows[-1] = (950, "e", "A" + rows[-1][2], None)
     assert cut(spark, rows) == {900 + i: "limit" for i in range(12)}
+
+
+def test_rare_openings_count_whatever_the_size(spark, monkeypatch):
+    rows = corpus() + [(500 + i, "a", f"Breeds wheat in field {i}.", None) for i in range(4)]
+    rows += [(600, "a", "Breeds wheat in fie", None), (601, "a", WHOLE[0] + " Breeds wh", None)]
+    rows += [(1000 + i, "a", "Works on soil. " * 2500 + WHOLE[0], None) for i in range(40)]  # 100,000 other sentences
+    assert cut(spark, rows) == {600: "sentence", 601: "sentence"}
+    monkeypatch.setattr(t, "BROADCAST_KEYS", 0)
+    assert cut(spark, rows) == {600: "sentence", 601: "sentence"}
+    monkeypatch.setattr(t, "SUPPORT", 20)
+    assert cut(spark, rows) == {600: "sentence", 601: "sentence"}
