@@ -5,12 +5,13 @@ were written in) the characters are mapped back to bytes, and an automaton over
 the byte structure of the written encoding finds the maximal well-formed
 multibyte spans. Only those spans are decoded; the rest of the text stays as it
 is. A span counts when what it decodes to is likelier than what stands there,
-by a character model counted over the whole column. Texts garbled twice are
+by a character model counted over the distinct texts of the whole column, so
+that no repeated garbled text makes itself likely. Texts garbled twice are
 restored in turns. A replacement character is garbled text that can't be
 restored.
 
 The model has at most one count per code point, however large the corpus, and
-is shipped to the workers; rows never shuffle for it beyond those counts.
+is shipped to the workers; each column's texts shuffle once to be told apart.
 
 Defined results: NULL and empty texts are never garbled; foreign letters used
 rightly form no well-formed span, or a less likely one; ties between encodings
@@ -22,8 +23,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -140,7 +141,9 @@ def _plausible(decoded: str, standing: str, read: str, written: str, model: Char
     if single and sum(not c.isascii() for c in standing) < 2:
         return False
     symbols = single and len(standing) >= 4 and not any(c.isascii() for c in standing)
-    return model.mean(decoded) > model.mean(standing) + (0.0 if symbols else GAIN)
+    # Twelve bytes of UTF-8 hardly come about by chance in two-byte text.
+    formed = not single and written == "utf-8" and len(decoded) >= 4 and len(wide) == len(decoded) and min(wide) >= "\u0800"
+    return model.mean(decoded) > model.mean(standing) + (0.0 if symbols or formed else GAIN)
 
 
 def _glued(s: str, start: int, end: int) -> bool:
@@ -150,6 +153,15 @@ def _glued(s: str, start: int, end: int) -> bool:
     return bool(near) and all(c.isascii() for c in near)
 
 
+def _in_word(s: str, i: int) -> bool:
+    """Whether the letter stands beside another letter of an alphabet that isn't ASCII."""
+
+    def foreign(c: str) -> bool:
+        return c.isalpha() and not c.isascii() and c < "\u2e80"
+
+    return foreign(s[i]) and any(foreign(c) for c in (s[i - 1 : i], s[i + 1 : i + 2]) if c)
+
+
 def _gaining(chars: str, decoded: str, model: CharModel) -> Iterator[tuple[int, int]]:
     """Stretches of two texts of equal length where the second is likelier by ``STRETCH`` in all."""
 
@@ -187,6 +199,8 @@ def spans(s: str, read: str, written: str, model: CharModel) -> list[tuple[int,
             decoded = bytes(run[a:b]).decode(written, "ignore")
             if read not in _SINGLE and written != "utf-8" and len(decoded) == end - start:
                 for x, y in _gaining(s[start:end], decoded, model):
+                    if y - x == 1 and _in_word(s, start + x):
+                        continue  # its neighbours would have been misread as well
                     out.append((start + x, start + y, decoded[x:y]))
                 if end - start <= 2 and _LATIN.fullmatch(decoded[0]) and _glued(s, start, start + 1):
                     out.append((start, start + 1, decoded[0]))
@@ -255,25 +269,25 @@ def model_of(counts: dict[str, int]) -> CharModel:
 
 
 def char_counts(df: DataFrame, *columns: str) -> dict[str, dict[str, int]]:
-    """Counts of every character per column, over all rows; at most one per code point reaches the driver."""
+    """Counts of every character per column, each distinct text counted once; at most one per code point reaches the driver."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = {c: Counter() for c in columns}
-        for batch in batches:
-            for c in columns:
-                texts = batch[c].dropna()
-                totals[c].update("".join(texts))
-                totals[c][""] += len(texts)
-        rows = [(f, c, n) for f, counter in totals.items() for c, n in counter.items() if c != "\x00"]
-        yield pd.DataFrame(rows, columns=["field", "sign", "n"])
+    def count(field: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            totals = Counter()
+            for batch in batches:
+                totals.update("".join(batch["text"]))
+                totals[""] += len(batch)
+            rows = [(field, c, n) for c, n in totals.items() if c != "\x00"]
+            yield pd.DataFrame(rows, columns=["field", "sign", "n"])
+
+        return counted
 
     out: dict[str, dict[str, int]] = {c: {} for c in columns}
-    summed = (
-        df.select(*columns)
-        .mapInPandas(count, "field string, sign string, n long")
-        .groupBy("field", "sign")
-        .agg(F.sum("n").alias("n"))
-    )
+    counts = [
+        df.select(F.col(c).alias("text")).where("text IS NOT NULL").distinct().mapInPandas(count(c), "field string, sign string, n long")
+        for c in columns
+    ]
+    summed = reduce(DataFrame.unionByName, counts).groupBy("field", "sign").agg(F.sum("n").alias("n"))
     for r in summed.collect():
         out[r["field"]][r["sign"]] = r["n"]
     return out

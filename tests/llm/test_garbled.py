@@ -55,3 +55,18 @@ def test_frame(spark):
     got = [(r["id"], r["field"], r["restored"]) for r in g.restored(df, "row_id", ("name", "intro")).collect()]
     assert got == [(2, "name", SENTENCES[0])]
     assert g.restored(df.limit(0), "row_id", ("name", "intro")).count() == 0
+
+
+def test_hot_garbled_value_is_found(spark):
+    hot = ["欧阳海流".encode().decode(read) for read in ("gb18030", "mac_roman", "cp437")]
+    rows = [(i, s + str(i), None) for i, s in enumerate(SENTENCES * 30)] + [(1000 + i, "长期关注海流模拟%d" % i, None) for i in range(60)]
+    rows += [(2000 + i, "欧阳海流%d" % i, None) for i in range(60)]
+    for spoiled in hot:
+        df = spark.createDataFrame(rows + [(5000 + i, spoiled, None) for i in range(150)], "row_id long, name string, intro string")
+        found = {r["id"]: r["restored"] for r in g.restored(df, "row_id", ("name", "intro")).collect()}
+        assert found == {i: "欧阳海流" for i in range(5000, 5150)}, spoiled
+
+
+def test_letter_of_a_word_is_left(model):
+    counts = Counter({"清": 4000, **{c: 60 for c in "Щукар Тимур"}, "ь": 1})
+    assert not g.repair("Тимур Щукарь", g.CharModel(counts))[0]
