@@ -98,20 +98,23 @@ def _filler(line: Column) -> Column:
     out = F.lit(False)
     for p in FILLER:
         out = out | line.rlike(p)
-    return out
+    return out & ~line.rlike(r"^(?:1919|2020)[。.…]*$")  # a year
+
+
+#: Where a line of ``lines_of`` may begin.
+_BEGIN = r"(?:^|[\r\n。！？]|[.!?]\s)"
 
 
 def possible(text: Column, address: Column) -> Column:
     """Holds for every cell with a line that has evidence, and for few others; judged before cells are cut into lines."""
-    words = "|".join(p for p in STAND_IN_LINES)
+    words = "|".join(f"(?:{p})" for p in STAND_IN_LINES)
     return (
         address
         | _slots(text)
+        | text.rlike(r"[#${]\{|\$!\{|<%=|\[\[|[{\[]%")  # one left open may end a line
         | _matches(text, (*SCRIPTS, *ERRORS, *STAND_INS))
-        | (F.length(text) <= 80) & F.lower(text).rlike(words)
-        | F.lower(text).rlike(r"[\r\n。！？]\W*(?:" + words + ")")
-        | _filler(text)
-        | text.rlike(r"[\r\n]") & text.rlike(r"(.{2,20}?)\1")
+        | text.rlike(rf"(?U)(?i){_BEGIN}[^\w\[{{]*(?:{words})(?!\w)")
+        | text.rlike(rf"{_BEGIN}[{SPACE}]*(.{{2,20}}?)\s*\1")
     )
 
 

@@ -40,3 +40,23 @@ def test_recurrent_lines_beside_content_are_boilerplate(spark):
 def test_empty_and_long(spark):
     assert found(spark, []) == set()
     assert found(spark, [(1, "h", "Works on soils. " * 20000 + "{{bio}}", None, None)]) == {(1, "intro")}
+
+
+def test_evidence_in_long_texts_without_line_ends(spark):
+    long = "Works on soil fertility and the plants that depend on it, with " + "colleagues of other departments and " * 3 + "students."
+    han = "长期关注海流模拟中的评价方法问题，主持省部级课题三项，参与横向项目五项" * 3 + "。"
+    bad = [f"暂无简介。{han}", f"待补充。{han}", f"{long} TBD", f"{long} (null) {long}"[: -len(long) - 1], f"TBD! {long}", f"{long} N/A. {long}", f"Loading... {long}", f"　TODO。{han}"]
+    bad += [f"{han}测试一测试一测试一。{han}", f"{long} asdf asdf asdf. {long}", f"{long} 啊啊啊啊啊 {han}"[: len(long) + 6], f"{long}\n{{{{bio\n{long}"]
+    good = [long, han, f"{long} None of it is lost. {long}", f"Testing of soils. {long}", f"{han}2020"]
+    rows = [(i, "h", t, None, None) for i, t in enumerate(bad)] + [(100 + i, "g", t, None, None) for i, t in enumerate(good)]
+    assert found(spark, rows) == {(i, "intro") for i in range(len(bad))}
+
+
+def test_every_line_with_evidence_is_possible(spark):
+    from pyspark.sql import functions as F
+
+    lines = [x for x in [*BAD, *GOOD] if x]
+    texts = [before + x + after for x in lines for before in ("", "长期" * 50 + "。", "Soils " * 20 + "end. ", "a\r\n") for after in ("", "\n" + "甲乙丙丁" * 30)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    has = F.exists(r.lines_of(F.col("text")), lambda x: r.evidence(x, F.lit(False)).isNotNull())
+    assert df.where(has & ~r.possible(F.col("text"), F.lit(False))).collect() == []
