@@ -136,7 +136,7 @@ def consistent(text: str) -> str:
 
 def unusual(c: Column) -> Column:
     """Whether a cell may hold anything but its consistent form; cheap, and true for all that do."""
-    return c.rlike(r"[^\x00-\x7f一-鿿·가-힣ぁ-ゖァ-ヺーÀ-ÖØ-öø-ſ]")
+    return c.rlike(r"[^\x00-\x7f一-鿿·가-힣ぁ-ゖァ-ヺーÀ-ÖØ-öø-ıĴ-ľŁ-ňŊ-ž]")
 
 
 def cells(

@@ -22,3 +22,10 @@ def test_idempotent_and_frame(spark):
     assert set(got) == {(1, "name"), (4, "name")}
     assert all(k.consistent(v) == v for v in got.values())
     assert k.cells(df.limit(0), "row_id", ("name", "email")).count() == 0
+
+
+def test_compatible_latin_letters_are_unusual(spark):
+    names = [f"A{c}b" for c in "ĲĳĿŀŉſ"] + [f"A{chr(n)}b" for n in range(0xC0, 0x180)]
+    df = spark.createDataFrame([(i, n, None) for i, n in enumerate(names)], "row_id long, name string, email string")
+    got = {r["id"] for r in k.cells(df, "row_id", ("name",)).collect()}
+    assert got == {i for i, n in enumerate(names) if k.consistent(n) != n} and set(range(6)) <= got
