@@ -136,6 +136,8 @@ class Dictionary:
     filed: dict[tuple[str, str], list[tuple[str, Entry]]] = field(default_factory=lambda: defaultdict(list))
     by_scope: dict[str, list[tuple[str, Entry]]] = field(default_factory=lambda: defaultdict(list))
     cores: dict[str, list[Entry]] = field(default_factory=lambda: defaultdict(list))
+    #: Signs of the longest spelling with its allowed edits.
+    longest: int = 0
 
     def __post_init__(self) -> None:
         for e in self.entries:
@@ -146,13 +148,14 @@ class Dictionary:
                     continue
                 self.exact[e.scope, s].append(e)
                 self.by_scope[e.scope].append((s, e))
+                self.longest = max(self.longest, len(s) + allowed(len(s)))
                 for d in deletions(s, allowed(len(s))):
                     self.filed[e.scope, d].append((s, e))
 
     def close(self, scope: str, v: str) -> tuple[float, int, int, int] | None:
         """Best spelling within the allowed edits: (distance, -uses, id, length)."""
         found: dict[tuple[str, int], tuple[float, int, int, int]] = {}
-        if len(v) > 60:
+        if len(v) > self.longest:
             return None
         for d in deletions(v, 2 if len(v) >= 5 else 1):
             for s, e in self.filed.get((scope, d), ()):

@@ -53,3 +53,10 @@ def test_blocks_and_nulls(spark):
         got = {r["row_id"]: r["ref_id"] for r in m.map_values(rows.drop("ref_id"), ["row_id"], ranks(), block).collect()}
         assert got == {1: 1, 2: 0, 3: 2}
     assert [r["ref_id"] for r in m.map_values(rows.drop("ref_id"), ["row_id"], []).collect()] == [0, 0, 0]
+
+
+def test_long_entries_are_found_with_a_typo():
+    name = "Joint International Graduate School of Economics, Finance and Public Administration"
+    entries = m.college_entries([(1, "甲大学", "经济与金融学院", name)], {})
+    long = max((s for e in entries for s in map(m.clean, e.spellings)), key=len)
+    assert len(long) > 60 and m.Dictionary(entries).close("甲大学", long[:20] + long[21:]) is not None
