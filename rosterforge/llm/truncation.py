@@ -92,7 +92,7 @@ def ending(sentence: Column) -> Column:
 
 
 def spikes(cells: DataFrame) -> DataFrame:
-    """``source, unit, top``: lengths at which a source cuts. ``cells`` has source, n_chars, n_bytes, unfinished."""
+    """``source, chars, bytes``: all lengths at which a source cuts. ``cells`` has source, n_chars, n_bytes, unfinished."""
     counts = cells.groupBy("source", "n_chars", "n_bytes").agg(
         F.count("*").alias("n"), F.count_if("unfinished").alias("n_open")
     )
@@ -131,12 +131,8 @@ def spikes(cells: DataFrame) -> DataFrame:
         & (F.col("near") >= F.col("usual") * F.lit(SPIKE_FACTOR))
         & (F.col("beyond") <= F.col("total") * F.lit(SPIKE_BEYOND))
     )
-    best = tested.groupBy("source", "unit").agg(
-        F.max_by("length", F.struct("near", "length")).alias("top"), F.max("near").alias("near")
-    )
-    return best.groupBy("source").agg(
-        F.max_by("unit", F.struct("near", "unit")).alias("unit"), F.max_by("top", F.struct("near", "unit")).alias("top")
-    )
+    lengths = lambda unit: F.collect_list(F.when(F.col("unit") == unit, F.col("length"))).alias(unit)
+    return tested.groupBy("source").agg(lengths("chars"), lengths("bytes"))
 
 
 def openings(cells: DataFrame) -> DataFrame:
@@ -206,9 +202,8 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
     if limits.count() <= BROADCAST_LIMITS:
         limits = F.broadcast(limits)
     at_limit = F.coalesce(
-        F.when(F.col("unit") == "chars", F.col("n_chars") == F.col("top")).otherwise(
-            F.col("n_bytes").between(F.col("top") - 2, F.col("top"))
-        ),
+        F.array_contains("chars", F.col("n_chars"))
+        | F.exists("bytes", lambda top: F.col("n_bytes").between(top - 2, top)),
         F.lit(False),
     )
     known = openings(

@@ -77,3 +77,10 @@ def test_rare_openings_count_whatever_the_size(spark, monkeypatch):
     assert cut(spark, rows) == {600: "sentence", 601: "sentence"}
     monkeypatch.setattr(t, "SUPPORT", 20)
     assert cut(spark, rows) == {600: "sentence", 601: "sentence"}
+
+
+def test_every_spike_of_a_source_counts(spark):
+    rows = [(i, "f", "Works on soil" + " and air" * (i % 5) + ".", None) for i in range(300)]
+    rows += [(400 + i, "f", f"Works on field {i:02} {'x' * 100}"[:60], None) for i in range(12)]
+    rows += [(500 + i, "f", f"Works on field {i:02} {'y' * 100}"[:84], None) for i in range(12)]
+    assert cut(spark, rows) == {i: "limit" for i in [*range(400, 412), *range(500, 512)]}
