@@ -18,6 +18,12 @@ of its own; very long texts are judged line by line in full.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,15 +84,20 @@ def _matches(text: Column, patterns: tuple[str, ...]) -> Column:
     alternatives = list(kinds["other"])
     if kinds["word"]:
         starts = "".join(sorted({p[0] for p in kinds["word"]} - {"["})) + "45"
-        alternatives.append(rf"\b(?=[{starts}])(?:" + "|".join(kinds["word"]) + ")")
+        alternatives.append(rf"(?=[{starts}])\b(?:" + "|".join(kinds["word"]) + ")")
     if kinds["han"]:
         starts = "".join(sorted({p[0] for p in kinds["han"]}))
         alternatives.append(f"(?=[{starts}])(?:" + "|".join(kinds["han"]) + ")")
     return F.lower(text).rlike("|".join(f"(?:{p})" for p in alternatives))
 
 
+_SLOT = "|".join(f"(?:{p})" for p in SLOTS)
+#: A sign that every slot holds.
+_SLOT_SIGN = r"[{<\[%]|@@|__|待填"
+
+
 def _slots(text: Column) -> Column:
-    return text.rlike(r"[{<\[%@_]|待填") & text.rlike("|".join(f"(?:{p})" for p in SLOTS))
+    return text.rlike(_SLOT_SIGN) & text.rlike(_SLOT)
 
 
 def _stand_in_line(line: Column) -> Column:
@@ -105,17 +116,66 @@ def _filler(line: Column) -> Column:
 _BEGIN = r"(?:^|[\r\n。！？]|[.!?]\s)"
 
 
-def possible(text: Column, address: Column) -> Column:
-    """Holds for every cell with a line that has evidence, and for few others; judged before cells are cut into lines."""
+def literals(pattern: str) -> frozenset[str]:
+    """Literals of which every text that the pattern matches holds one; empty if none can be told."""
+
+    def weight(found: frozenset[str]) -> int:
+        return min((sum(1 if c.isascii() else 2 for c in w) for w in found), default=0)
+
+    def needed(parts: Iterable) -> frozenset[str]:
+        options, run = [], ""
+        for kind, value in [*parts, ("END", None)]:
+            if str(kind) == "LITERAL":
+                run += chr(value)
+                continue
+            options.append(frozenset({run} if run else ()))
+            run = ""
+            if str(kind) == "SUBPATTERN":
+                options.append(needed(value[-1]))
+            elif str(kind) == "BRANCH":
+                each = [needed(b) for b in value[1]]
+                options.append(frozenset().union(*each) if all(each) else frozenset())
+            elif str(kind) in ("MAX_REPEAT", "MIN_REPEAT") and value[0] > 0:
+                options.append(needed(value[2]))
+        return max(options, key=weight)
+
+    return needed(re._parser.parse(pattern))
+
+
+def _linear() -> str:
+    """What RE2 runs in one pass: all phrases, slot signs and stand-ins where a line may begin; phrases that look around by their literals."""
+    phrases = [p if "(?!" not in p else "|".join(map(re.escape, literals(p))) for p in (*SCRIPTS, *ERRORS, *STAND_INS)]
+    phrases = [f"(?:{p})".replace(r"\s", r"[\s\x0b]") for p in phrases]
     words = "|".join(f"(?:{p})" for p in STAND_IN_LINES)
-    return (
-        address
-        | _slots(text)
-        | text.rlike(r"[#${]\{|\$!\{|<%=|\[\[|[{\[]%")  # one left open may end a line
-        | _matches(text, (*SCRIPTS, *ERRORS, *STAND_INS))
-        | text.rlike(rf"(?U)(?i){_BEGIN}[^\w\[{{]*(?:{words})(?!\w)")
-        | text.rlike(rf"{_BEGIN}[{SPACE}]*(.{{2,20}}?)\s*\1")
-    )
+    return "|".join([*phrases, _SLOT_SIGN, rf"{_BEGIN}[^\pL\p{{Nd}}\pM_\[{{]*(?:{words})"])
+
+
+def _back_referring(address: bool) -> Callable[[str], bool]:
+    """The rest: stand-in addresses, or signs repeated where a line may begin."""
+    if address:
+        found = re.compile("(?i)" + "|".join(f"(?:{p})" for p in ADDRESSES)).search
+        return lambda v: found(v) is not None
+    repeated = r"\s*(.{2,20}?)\s*\1"
+    first, later = re.compile(repeated).match, re.compile(rf"[\r\n。！？.!?]{repeated}").search
+    return lambda v: first(v) is not None or later(v) is not None
+
+
+def screened(cells: DataFrame, address: bool) -> DataFrame:
+    """The cells (``value`` not NULL) that may hold evidence: all that do, and few others.
+
+    The many phrases are searched by one automaton over whole Arrow columns;
+    as a Java pattern they would be tried one by one at every sign.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        linear, other = _linear(), _back_referring(address)
+        for batch in batches:
+            value = batch.column("value")
+            hit = pc.match_substring_regex(value, linear, ignore_case=True)
+            kept = [h or other(v) for h, v in zip(hit.to_pylist(), value.to_pylist())]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return cells.mapInArrow(keep, cells.schema)
 
 
 def evidence(line: Column, address: Column) -> Column:
@@ -142,16 +202,18 @@ def normalised(line: Column) -> Column:
 
 def residue(df: DataFrame, id_col: str, host: str, text_columns: tuple[str, ...], address_columns: tuple[str, ...]) -> DataFrame:
     """``id, field, evidence`` of every cell whose residual holds evidence."""
-    names = (*text_columns, *address_columns)
-    cells = df.select(
-        F.col(id_col).alias("id"),
-        F.coalesce(F.col(host), F.lit("")).alias("host"),
-        F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in names])).alias("cell"),
-    ).select("id", "host", "cell.field", "cell.value")
-    totals = cells.where(F.col("field") == names[0]).groupBy("host").agg(F.count("*").alias("host_cells"))
+    host_of = F.coalesce(F.col(host), F.lit("")).alias("host")
+    totals = df.groupBy(host_of).agg(F.count("*").alias("host_cells"))
     is_address = F.col("field").isin(*address_columns)
+
+    def cells(columns: tuple[str, ...], address: bool) -> DataFrame:
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns])).alias("cell")
+        known = df.select(F.col(id_col).alias("id"), host_of, each).select("id", "host", "cell.field", "cell.value")
+        return screened(known.where(~is_blank("value")), address)
+
+    parts = [cells(c, address) for c, address in ((text_columns, False), (address_columns, True)) if c]
     lines = checkpointed(
-        cells.where(~is_blank("value") & possible(F.col("value"), is_address))
+        reduce(DataFrame.unionByName, parts)
         .withColumn("lines", F.when(is_address, F.array(stripped("value"))).otherwise(lines_of(F.col("value"))))
         .withColumn("n_lines", F.size("lines"))
         .select("id", "host", "field", "n_lines", F.explode("lines").alias("line"))

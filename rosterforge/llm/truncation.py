@@ -51,23 +51,24 @@ SPIKE_LEAST, SPIKE_OPEN, SPIKE_BEYOND, SPIKE_FACTOR = 3, 0.6, 0.08, 4.0
 
 # What is put or left at a cut.
 MARK = (
-    r"(?:\.{3,}|…+|[\[【(（<《]\s*(?:更多|阅读全文|查看更多|查看全文|展开|详细|详情|more|read more|continue)\s*[\]】)）>》]|(?:read )?more\s*[»>]+"
+    r"(?:\.{3}|…|[\[【(（<《]\s{0,9}(?:更多|阅读全文|查看更多|查看全文|展开|详细|详情|more|read more|continue)\s{0,9}[\]】)）>》]|more\s{0,9}[»>]{1,9}"
     r"|&#?\w{0,8}|<[A-Za-z/][^<>]{0,60}|<|\\u[0-9A-Fa-f]{0,3}|\\x[0-9A-Fa-f]?|\\|%[0-9A-F]?)$"
 )
-STOP = r"[。.!?！？][”\"’』」）)\]】]*$"
+STOPS, CLOSERS = "。.!?！？", "”\"’』」）)]】"
 
-
-#: More signs than any mark or stop with its closing marks has; only these are looked at for one.
+#: Precedes the opening of a sentence with and without a stop.
+_STOPPED, _OPEN = ".", " "
+#: No mark has more signs, as MARK bounds every repetition; so only these are looked at for one.
 LAST = 80
 
 
 def marked(text: Column) -> Column:
     last = F.right(text, F.lit(LAST))
-    return last.rlike(r"[&<\\%]|[.…\])】）>》»]$") & last.rlike("(?i)" + MARK)
+    return last.rlike(r"[&<\\%]|(?:\.\.\.|[…\])】）>》»])$") & last.rlike("(?i)" + MARK)
 
 
 def stopped_at_end(text: Column) -> Column:
-    return F.right(text, F.lit(LAST)).rlike(STOP)
+    return F.right(F.rtrim(text, F.lit(CLOSERS)), F.lit(1)).isin(*STOPS)
 
 
 def sentences(text: Column) -> Column:
@@ -80,15 +81,14 @@ def masked(text: Column) -> Column:
 
 
 def opening(sentence: Column) -> Column:
-    """The first two words of a sentence in Latin letters, else its first four signs; numbers are masked."""
-    m = masked(F.left(sentence, F.lit(LAST // 2)))
-    return F.when(m.rlike(r"^[A-Za-z]"), F.regexp_extract(m, r"^(\S+(?:\s+\S+)?)", 1)).otherwise(F.left(m, F.lit(OPENING)))
+    """The first two words of a sentence in Latin letters, else its first four signs; a number is one sign."""
+    return masked(F.regexp_extract(sentence, rf"^(?:[A-Za-z]\S*(?:\s+\S+)?|(?:[0-9]+|[^0-9]){{1,{OPENING}}})", 0))
 
 
 def ending(sentence: Column) -> Column:
-    """The last word in Latin letters, else the last two signs; numbers are masked."""
-    m = masked(F.right(sentence, F.lit(LAST)))
-    return F.when(m.rlike(r"[A-Za-z]$"), F.regexp_extract(m, r"([^\s,，、]+)$", 1)).otherwise(F.right(m, F.lit(2)))
+    """The last word in Latin letters, else the last two signs; a number is one sign."""
+    back = F.regexp_extract(F.reverse(sentence), r"^(?:(?=[A-Za-z])[^\s,，、]+|(?:[0-9]+|[^0-9]){1,2})", 0)
+    return masked(F.reverse(back))
 
 
 def spikes(cells: DataFrame) -> DataFrame:
@@ -135,18 +135,19 @@ def spikes(cells: DataFrame) -> DataFrame:
     return tested.groupBy("source").agg(lengths("chars"), lengths("bytes"))
 
 
-def openings(cells: DataFrame) -> DataFrame:
+def openings(scanned: DataFrame, tails: DataFrame) -> DataFrame:
     """``opening, n_stop, n, n_open`` of every opening with enough sentences.
 
-    The last fragments of ``cut`` cells, marked or at a limit, say nothing about how their like end.
+    ``scanned`` has ``before``, the openings of sentences known to be whole with
+    a sign for their stop; ``tails`` the openings of unfinished last ones.
     """
-    each = cells.select(F.posexplode("sentences").alias("at", "sentence"), F.size("sentences").alias("n"), "cut").where(
-        ~(F.col("cut") & (F.col("at") == F.col("n") - 1))
+    told = scanned.select(F.explode("before").alias("b")).select(
+        F.substring("b", 2, 2**31 - 1).alias("opening"), F.startswith("b", F.lit(_STOPPED)).alias("stop")
     )
     counted = checkpointed(
-        each.groupBy(opening(F.col("sentence")).alias("opening")).agg(
-            F.count_if(stopped_at_end(F.col("sentence"))).alias("n_stop"), F.count("*").alias("n")
-        )
+        told.unionByName(tails.select("opening", F.lit(False).alias("stop")))
+        .groupBy("opening")
+        .agg(F.count_if("stop").alias("n_stop"), F.count("*").alias("n"))
     ).withColumn("n_open", F.col("n") - F.col("n_stop"))
     return counted.where(F.col("n") >= LEAST_USES)
 
@@ -182,21 +183,24 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         .where(~is_blank("text"))
         .withColumn("marked", marked(F.col("text")))
         .withColumn("unfinished", F.col("marked") | ~stopped_at_end(F.col("text")))
-        .withColumn("n_chars", F.length("text"))
-        .withColumn("n_bytes", F.octet_length("text"))
-        .withColumn("sentences", sentences(F.col("text")))
     )
-    tail = F.coalesce(F.try_element_at("sentences", F.lit(-1)), F.lit(""))
-    # One scan gives lengths of all cells and what is judged of the unfinished ones; both are read several times.
+
+    def told(parts: Column) -> Column:
+        whole = F.when(F.col("unfinished"), F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
+        sign = lambda p: F.when(stopped_at_end(p), _STOPPED).otherwise(_OPEN)
+        tail = F.when(F.col("unfinished"), F.coalesce(F.try_element_at(parts, F.lit(-1)), F.lit("")))
+        return F.struct(F.transform(whole, lambda p: F.concat(sign(p), opening(p))).alias("before"), tail.alias("tail"))
+
+    # One scan splits every text once; what it leaves is read several times.
     scanned = checkpointed(
         cells.select(
             "source",
-            "n_chars",
-            "n_bytes",
+            F.length("text").alias("n_chars"),
+            F.octet_length("text").alias("n_bytes"),
             "unfinished",
-            *[F.when(F.col("unfinished"), c).alias(n) for n, c in {"id": F.col("id"), "text": F.col("text"), "tail": tail}.items()],
-            F.when(F.col("unfinished"), F.col("marked")).alias("marked"),
-        )
+            F.get(F.transform(F.array(sentences(F.col("text"))), told), F.lit(0)).alias("told"),
+            *[F.when(F.col("unfinished"), F.col(c)).alias(c) for c in ("id", "text", "marked")],
+        ).select("*", "told.*").drop("told")
     )
     limits = checkpointed(spikes(scanned))
     if limits.count() <= BROADCAST_LIMITS:
@@ -206,9 +210,20 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         | F.exists("bytes", lambda top: F.col("n_bytes").between(top - 2, top)),
         F.lit(False),
     )
-    known = openings(
-        cells.join(limits, "source", "left").withColumn("cut", F.col("marked") | (F.col("unfinished") & at_limit))
+    opened = checkpointed(
+        scanned.where("unfinished").join(limits, "source", "left").select(
+            "id",
+            "source",
+            "text",
+            "marked",
+            at_limit.alias("at_limit"),
+            opening(F.col("tail")).alias("opening"),
+            ending(F.col("tail")).alias("ending"),
+            masked(F.col("tail")).alias("fragment"),
+        )
     )
+    # The last fragments of texts that are marked or at a limit say nothing about how their like end.
+    known = openings(scanned, opened.where(~F.col("marked") & ~F.col("at_limit")))
     is_free = F.col("n_open") >= F.col("n") * F.lit(FREE_SHARE)
     known = known.select("opening", "n", is_free.alias("free"), (F.col("n_stop") * 2 >= F.col("n")).alias("stopped"))
     begun = checkpointed(
@@ -218,16 +233,6 @@ def cut_texts(df: DataFrame, id_col: str, source: str, column: str) -> DataFrame
         .agg(F.sum("n").alias("n"))
         .withColumn("begun", F.lit(True))
     )
-    opened = scanned.where("unfinished").join(limits, "source", "left").select(
-        "id",
-        "source",
-        "text",
-        "marked",
-        at_limit.alias("at_limit"),
-        opening(F.col("tail")).alias("opening"),
-        ending(F.col("tail")).alias("ending"),
-        masked(F.col("tail")).alias("fragment"),
-    )
     opened = looked_up(opened, known, ["opening"], "n")
     endings = checkpointed(good_endings(opened.where(F.col("free") & ~F.col("marked") & ~F.col("at_limit"))))
     judged = looked_up(looked_up(opened, endings, ["opening", "ending"], "n"), begun, ["fragment"], "n")
