@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import rules
+from . import markup, rules
 from .text import SPACE, col, contains_any, html_to_text, let, matches_with_offsets, norm_ws, text_of
 
 _CANDIDATES = "array<struct<score:int,email:string>>"
@@ -71,7 +71,7 @@ def candidates(source: Column | str, kind: str | Column) -> Column:
     def each(s: Column) -> Column:
         found = F.filter(
             F.transform(
-                matches_with_offsets(s, rules.EMAIL),
+                matches_with_offsets(s, markup.EMAIL),
                 lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), trimmed(m["found"]).alias("email")),
             ),
             lambda m: m["email"] != "",
@@ -99,7 +99,7 @@ def best(scored: Column, least: int = 1) -> Column:
 
 def addresses(c: Column | str) -> Column:
     """Distinct addresses in order, without regard to case."""
-    found = F.filter(F.transform(F.regexp_extract_all(text_of(c), F.lit(rules.EMAIL), F.lit(0)), trimmed), lambda e: e != "")
+    found = F.filter(F.transform(F.regexp_extract_all(text_of(c), F.lit(markup.EMAIL), F.lit(0)), trimmed), lambda e: e != "")
     lowered = F.transform(found, F.lower)
     return F.filter(found, lambda e, i: F.array_position(lowered, F.lower(e)) == i + 1)
 
@@ -113,7 +113,7 @@ def first_usable(found: Column) -> Column:
 def labelled_candidates(source: Column | str) -> Column:
     """Candidates in the text after a mail or contact label, as it stands and without white space."""
     s = text_of(source)
-    after = F.concat(*[F.regexp_extract_all(s, F.lit(p), F.lit(1)) for p in rules.EMAIL_LABELS])
+    after = F.concat(*[F.regexp_extract_all(s, F.lit(p), F.lit(1)) for p in markup.MAIL_LABELS])
     plain = F.transform(after, lambda x: undisguise(F.when(x.contains("<") & x.contains(">"), html_to_text(x)).otherwise(x)))
     tight = F.transform(plain, lambda x: F.regexp_replace(x, rf"[{SPACE}]+", ""))
     every = F.array_distinct(F.concat(plain, tight))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import rules
+from . import markup, rules
 from .text import HAN, SPACE, clean_intro, col, contains_any, html_to_text, let, norm_ws, person_name, strip, text_of
 from .url import path_stem
 
@@ -29,15 +29,14 @@ def looks_like_name(c: Column | str) -> Column:
     return person_name(c).rlike(_NAME)  # which no URL is
 
 
-def name_quality(c: Column | str) -> Column:
+def quality_of_clean(n: Column) -> Column:
     """2 for a clean name, 1 if it holds an ideograph, else 0."""
-    return let(
-        clean_name(c),
-        lambda n: F.when((n == "") | contains_any(n, rules.NAME_NOISE), 0)
-        .when(n.rlike(_NAME), 2)
-        .when(n.rlike(rf"[{HAN}]"), 1)
-        .otherwise(0),
-    )
+    noisy = (n == "") | contains_any(n, rules.NAME_NOISE)
+    return F.when(noisy, 0).when(n.rlike(_NAME), 2).when(n.rlike(rf"[{HAN}]"), 1).otherwise(0)
+
+
+def name_quality(c: Column | str) -> Column:
+    return let(clean_name(c), quality_of_clean)
 
 
 def name_candidate(c: Column | str) -> Column:
@@ -49,8 +48,8 @@ def name_candidate(c: Column | str) -> Column:
 
 def name_of_page(page: Column | str, url: Column | str) -> Column:
     """From the page title's parts, the first three meta contents, then the URL's stem."""
-    title = clean_intro(html_to_text(F.regexp_extract(text_of(page), rules.PAGE_TITLE, 1)))
-    metas = F.slice(F.regexp_extract_all(text_of(page), F.lit(rules.META_CONTENT), F.lit(1)), 1, 3)
+    title = clean_intro(html_to_text(F.regexp_extract(text_of(page), markup.PAGE_TITLE, 1)))
+    metas = F.slice(F.regexp_extract_all(text_of(page), F.lit(markup.META_CONTENT), F.lit(1)), 1, 3)
     candidates = F.transform(F.concat(F.split(title, r"--|－|—|-"), metas, F.array(path_stem(url))), name_candidate)
     return F.coalesce(F.get(F.filter(candidates, lambda n: n != ""), F.lit(0)), F.lit(""))
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import rules
+from . import markup, rules
 from .text import SPACE, clean_intro, col, html_to_text, let, norm_ws, text_of
 from .url import host
 
@@ -116,7 +116,7 @@ def join_school_by_host(rows: DataFrame, url: str, domains: DataFrame) -> DataFr
 def org_of_page(url: Column | str, page: Column | str) -> Column:
     """``struct<school, college>`` from the domain, then page title, meta title, end and beginning of the text."""
     p = text_of(page)
-    parts = F.array(F.regexp_extract(p, rules.PAGE_TITLE, 1), F.regexp_extract(p, rules.META_PAGE_TITLE, 1), F.right(p, F.lit(6000)), F.left(p, F.lit(12000)))
+    parts = F.array(F.regexp_extract(p, markup.PAGE_TITLE, 1), F.regexp_extract(p, markup.META_PAGE_TITLE, 1), F.right(p, F.lit(6000)), F.left(p, F.lit(12000)))
     first = lambda found: F.coalesce(F.get(F.filter(found, lambda s: s != ""), F.lit(0)), F.lit(""))
 
     def within(scopes: Column) -> Column:

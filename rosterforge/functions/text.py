@@ -10,10 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from . import rules
+from . import markup, rules
 
 #: White space as a class for Java and RE2 patterns.
 SPACE = r"\x09-\x0d\x1c-\x20\x85\p{Z}"
+#: The same signs one by one, for trimming.
+SPACES = "".join(chr(n) for n in range(0x3001) if chr(n).isspace())
 HAN = r"\x{4e00}-\x{9fa5}"
 
 
@@ -38,15 +40,15 @@ def contains_any(c: Column, tokens: tuple[str, ...]) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def unescape(c: Column | str) -> Column:
-    """Common named entities; the ampersand last, so that nothing is decoded twice."""
+    """Common named entities; the ampersand last, so that nothing is decoded twice. A plain column without one is left as it is."""
     out = text_of(c)
     for entity, sign in rules.ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(sign))
-    return out
+    return F.when(text_of(c).contains("&"), out).otherwise(text_of(c)) if isinstance(c, str) else out
 
 
 @F.pandas_udf(StringType())
@@ -118,7 +120,7 @@ def more_han_than_latin(c: Column | str) -> Column:
 def named_sections(page: Column | str) -> Column:
     """``array<struct<title, html>>`` of a page's titled blocks."""
     p = text_of(page)
-    titles, blocks = (F.regexp_extract_all(p, F.lit(rules.SECTION), F.lit(i)) for i in (1, 2))
+    titles, blocks = (F.regexp_extract_all(p, F.lit(markup.SECTION), F.lit(i)) for i in (1, 2))
     return F.zip_with(titles, blocks, lambda t, b: F.struct(norm_ws(t).alias("title"), b.alias("html")))
 
 
@@ -134,7 +136,7 @@ def section_intro(page: Column | str) -> Column:
 
 
 def meta_description(page: Column | str) -> Column:
-    return norm_ws(F.regexp_extract(text_of(page), rules.META_DESCRIPTION, 1))
+    return norm_ws(F.regexp_extract(text_of(page), markup.META_DESCRIPTION, 1))
 
 
 def first_body_line(text: Column | str) -> Column:
@@ -155,7 +157,7 @@ def card_intro(c: Column | str) -> Column:
     """Text of a card without its labelled addresses."""
     out = norm_ws(c)
     for label in ("邮箱", "电子邮件"):
-        out = F.regexp_replace(out, rf"{label}\s*[:：]?\s*{rules.EMAIL}", "")
+        out = F.regexp_replace(out, rf"{label}\s*[:：]?\s*{markup.EMAIL}", "")
     return clean_intro(out)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import rules
+from . import markup, rules
 from .names import clean_name
 from .text import HAN, contains_any, let, matches_with_offsets, norm_ws, text_of
 
@@ -111,7 +111,7 @@ def known_in(c: Column) -> Column:
 def field_value(c: Column | str) -> Column:
     """A labelled value without a copula before it and the next label behind it."""
     out = F.regexp_replace(norm_ws(c), "^(?:为|是)", "")
-    return norm_ws(F.regexp_replace(out, rules.NEXT_LABEL, ""))
+    return norm_ws(F.regexp_replace(out, markup.NEXT_LABEL, ""))
 
 
 def _filled(c: Column) -> Column:
@@ -125,7 +125,7 @@ def labelled(source: Column | str) -> Column:
         token = F.left(F.get(F.split(v, "[，,；;。/ ]"), F.lit(0)), F.lit(20))
         return F.coalesce(*[_filled(x) for x in (by_level(v), first_in(v), by_priority(v), known_in(v), specific(v), token)])
 
-    captured = F.array(*[F.regexp_extract(text_of(source), p, 1) for p in rules.TITLE_LABELS])
+    captured = F.array(*[F.regexp_extract(text_of(source), p, 1) for p in markup.TITLE_LABELS])
     found = F.filter(F.transform(captured, lambda c: let(field_value(c), value)), lambda t: t.isNotNull())
     return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
 
@@ -171,7 +171,7 @@ def needs_ocr(page: Column | str, text: Column | str, images: Column) -> Column:
     from .text import html_to_text
 
     p, body = text_of(page), norm_ws(text)
-    block = F.regexp_extract(p, rules.CONTENT_BLOCK, 0)
-    bare = block.contains("img_vsb_content") & (F.length(norm_ws(html_to_text(block))) < 40)
+    block = F.regexp_extract(p, markup.CONTENT_BLOCK, 0)
+    bare = block.contains(rules.CONTENT_IMAGE) & (F.length(norm_ws(html_to_text(block))) < 40)
     strong = contains_any(body, rules.STRONG_TOKENS)
-    return (F.size(images) > 0) & (bare | (~strong & (p.contains("img_vsb_content") | (F.length(body) < 200))))
+    return (F.size(images) > 0) & (bare | (~strong & (p.contains(rules.CONTENT_IMAGE) | (F.length(body) < 200))))

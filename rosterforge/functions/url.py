@@ -76,9 +76,9 @@ def resolve_all(base: pd.Series, link: pd.Series) -> pd.Series:
 
 def image_urls(page: Column | str, page_url: Column | str) -> Column:
     """Distinct image addresses of a page, resolved against the page itself."""
-    from . import rules
+    from . import markup
 
-    raw = F.filter(F.transform(F.regexp_extract_all(text_of(page), F.lit(rules.IMAGE), F.lit(1)), norm_ws), lambda x: x != "")
+    raw = F.filter(F.transform(F.regexp_extract_all(text_of(page), F.lit(markup.IMAGE), F.lit(1)), norm_ws), lambda x: x != "")
     return F.array_distinct(
         F.transform(raw, lambda x: F.when(x.startswith("//"), F.concat(F.lit("https:"), x)).otherwise(resolve(col(page_url), x)))
     )

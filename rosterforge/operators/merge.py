@@ -7,26 +7,38 @@ side and never drawn into one task.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import org, rules, title
-from ..functions.names import clean_name, name_quality
+from ..functions.names import clean_name, quality_of_clean
 from ..functions.text import more_han_than_latin, norm_ws, person_name
 from ..functions.url import profile_key
-from .common import checkpointed, components, numbered
+from .common import checkpointed, components, looked_up, numbered
 
 #: Names of the parts of a row's quality, in order of weight.
 QUALITY = ("school", "college", "filled", "name_in_intro", "name_clean", "name_quality", "title", "email", "intro")
 
 
-def identity(prefix: str = "") -> Column:
-    """``struct<kind, a, b, c>``: URL, else school and address, else school and name, else what there is."""
-    c = lambda f: norm_ws(F.col(prefix + f))
-    url, mail, name = F.lower(c("profile_url")), F.lower(c("email")), clean_name(c("name"))
+#: Columns that ``cleaned`` adds: each field normalised, and the cleaned name.
+_CLEAN, _NAME = "_clean_", "_clean_of_name"
+
+
+def cleaned(df: DataFrame) -> DataFrame:
+    """``df`` with its fields normalised once, in columns of their own that ``identity`` and ``quality`` read."""
+    out = df.withColumns({_CLEAN + f: norm_ws(f) for f in rules.REQUIRED})
+    return out.withColumn(_NAME, clean_name(_CLEAN + "name"))
+
+
+def identity() -> Column:
+    """``struct<kind, a, b, c>`` of a cleaned row: URL, else school and address, else school and name, else what there is."""
+    c = lambda f: F.col(_CLEAN + f)
+    url, mail, name = F.lower(c("profile_url")), F.lower(c("email")), F.col(_NAME)
     key = lambda kind, a, b=F.lit(""), d=F.lit(""): F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"), d.alias("c"))
     return (
         F.when(url != "", key("url", url))
@@ -36,31 +48,46 @@ def identity(prefix: str = "") -> Column:
     )
 
 
-def quality(prefix: str = "") -> Column:
-    """Struct of nine numbers, compared in order; greater is better."""
-    c = {f: norm_ws(F.col(prefix + f)) for f in rules.REQUIRED}
-    name = clean_name(c["name"])
+def _parts() -> tuple[Column, ...]:
+    c = {f: F.col(_CLEAN + f) for f in rules.REQUIRED}
+    name = F.col(_NAME)
     parts = (
         org.looks_like_school(c["school"]) & ~org.is_placeholder_school(c["school"]),
         org.looks_like_college(c["college"]) & ~org.is_placeholder_college(c["college"]),
         sum(((c[f] != "").cast("int") for f in rules.REQUIRED), F.lit(0)),
         (name != "") & person_name(c["intro"]).contains(name),
         (name != "") & (name == c["name"]),
-        name_quality(c["name"]),
+        quality_of_clean(name),
         title.is_valid(c["title"]),
         c["email"] != "",
         F.least(F.length(c["intro"]), F.lit(200)),
     )
-    return F.struct(*[p.cast("int").alias(q) for p, q in zip(parts, QUALITY)])
+    return tuple(p.cast("int").alias(q) for p, q in zip(parts, QUALITY))
+
+
+def quality() -> Column:
+    """Struct of nine numbers of a cleaned row, compared in order; greater is better."""
+    return F.struct(*_parts())
 
 
 def best_rows(df: DataFrame, order: str) -> DataFrame:
-    """Per identity the row of the best quality, the first of equals; ``order`` becomes that of the identity's first row."""
-    row = F.struct(*df.columns)
-    grouped = df.groupBy(identity().alias("_key")).agg(
-        F.max_by(row, F.struct(quality(), -F.col(order))).alias("_row"), F.min(order).alias("_first")
+    """Per identity the row of the best quality, the first of equals; ``order`` becomes that of the identity's first row.
+
+    ``order`` must be a number unique in ``df``. What is aggregated is one
+    decimal a row, quality before place, so that the aggregate hashes fixed
+    widths; the chosen rows are then fetched by their number.
+    """
+    place = F.lit(2**63 - 1).cast("decimal(38,0)") - F.col(order).cast("decimal(20,0)")
+    rank = F.lit(0).cast("decimal(18,0)")
+    for part, most in zip(_parts(), (2, 2, 10, 2, 2, 3, 2, 2, 201)):
+        rank = (rank * F.lit(most) + part).cast("decimal(18,0)")
+    unit = F.lit("1" + "0" * 20).cast("decimal(21,0)")
+    scored = cleaned(df).select(
+        F.md5(F.to_json(identity())).alias("_key"), F.col(order).alias("_at"), (rank.cast("decimal(10,0)") * unit + place).cast("decimal(38,0)").alias("_rank")
     )
-    return grouped.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns if c != order], F.col("_first").alias(order))
+    chosen = scored.groupBy("_key").agg(F.max("_rank").alias("_rank"), F.min("_at").alias("_first"))
+    at = (F.lit(2**63 - 1).cast("decimal(38,0)") - F.col("_rank") % unit).cast(df.schema[order].dataType)
+    return df.join(chosen.select(at.alias(order), "_first"), order).withColumn(order, F.col("_first")).select(*df.columns)
 
 
 def shared_addresses(df: DataFrame) -> DataFrame:
@@ -75,10 +102,11 @@ def shared_addresses(df: DataFrame) -> DataFrame:
 def without_shared_addresses(df: DataFrame) -> DataFrame:
     """``df`` with addresses blanked that several people of one college have."""
     shared = shared_addresses(df).withColumn("_shared", F.lit(True))
-    keyed = (
-        df.withColumn("_school", norm_ws("school")).withColumn("_college", norm_ws("college")).withColumn("_email", F.lower(norm_ws("email")))
+    filled = lambda c: F.nullif(c, F.lit(""))
+    keyed = df.withColumns(
+        {"_school": filled(norm_ws("school")), "_college": filled(norm_ws("college")), "_email": filled(F.lower(norm_ws("email")))}
     )
-    joined = keyed.join(shared, ["_school", "_college", "_email"], "left")
+    joined = looked_up(keyed, shared, ["_school", "_college", "_email"])
     return joined.withColumn("email", F.when(F.col("_shared"), "").otherwise(F.col("email"))).select(*df.columns)
 
 
@@ -103,10 +131,9 @@ def upserted(existing: DataFrame, new: DataFrame, order: str = "ord") -> DataFra
     Existing rows come first in order, and win ties.
     """
     both = existing.drop("seq").withColumn("_batch", F.lit(0)).unionByName(new.drop("seq").withColumn("_batch", F.lit(1)))
-    last = existing.agg(F.coalesce(F.max(order), F.lit(-1)).alias("_last"))
-    placed = both.join(F.broadcast(last)).withColumn(
-        order, F.when(F.col("_batch") == 1, F.col(order) + F.col("_last") + 1).otherwise(F.col(order))
-    ).drop("_batch", "_last")
+    last = existing.agg(F.max(order)).first()[0]
+    behind = F.col(order) + F.lit(0 if last is None else last + 1)
+    placed = both.withColumn(order, F.when(F.col("_batch") == 1, behind).otherwise(F.col(order))).drop("_batch")
     merged = sanitised(best_rows(sanitised(placed), order))
     return numbered(merged, [order], "seq")
 
@@ -124,19 +151,41 @@ def preference(name: Column, url: Column, intro: Column, rank: Column, mail: Col
     )
 
 
-def _fold(records: list[dict]) -> list[dict]:
-    """Records of one component in order: each joins the first cluster it matches, else opens one."""
-    clusters: list[dict] = []
-    for r in records:
-        for i, c in enumerate(clusters):
-            named = r["_name"] and r["_name"] == c["_name"]
-            reached = r["_mail"] and r["_mail"] == c["_mail"] and r["_profile"] and r["_profile"] == c["_profile"]
-            if (r["_school"], r["_college"]) == (c["_school"], c["_college"]) and (named or reached):
-                clusters[i] = _united(c, r)
-                break
+class _Fold:
+    """Records of one component in order: each joins the first cluster it matches, else opens one.
+
+    Clusters are found by name and by address with profile; a merge may change
+    a cluster's own, so entries that no longer hold are dropped when met.
+    """
+
+    def __init__(self) -> None:
+        self.clusters: list[dict] = []
+        self.filed: dict[tuple, list[int]] = defaultdict(list)
+
+    @staticmethod
+    def keys(r: dict) -> list[tuple]:
+        place = (r["_school"], r["_college"])
+        named = [(*place, r["_name"])] if r["_name"] else []
+        return named + ([(*place, r["_mail"], r["_profile"])] if r["_mail"] and r["_profile"] else [])
+
+    def file(self, i: int) -> None:
+        for k in self.keys(self.clusters[i]):
+            if i not in self.filed[k][:1]:
+                heappush(self.filed[k], i)
+
+    def first(self, k: tuple) -> int | None:
+        at = self.filed[k]
+        while at and k not in self.keys(self.clusters[at[0]]):
+            heappop(at)
+        return at[0] if at else None
+
+    def add(self, r: dict) -> None:
+        hits = [i for k in self.keys(r) if (i := self.first(k)) is not None]
+        if hits:
+            self.clusters[min(hits)] = _united(self.clusters[min(hits)], r)
         else:
-            clusters.append(dict(r))
-    return clusters
+            self.clusters.append(dict(r))
+        self.file(min(hits) if hits else len(self.clusters) - 1)
 
 
 _FILLED = (("email", "_mail"), ("title", "_title"), ("intro", "_intro"), ("profile_url", "_profile"), ("school", "_school"), ("college", "_college"))
@@ -169,7 +218,8 @@ def merged_profiles(df: DataFrame, order: str = "ord") -> DataFrame:
     but only within records that share a name or an address of one college,
     directly or over others, which are found first as connected components.
     Exact copies are folded into their first before that, as they change
-    nothing; so no task holds more than the different records of one component.
+    nothing. A component's different records pass through one task in order, as
+    the fold demands, but as a stream: memory holds its clusters only.
     """
     fields = ["name", "profile_url", "school", "college", "title", "email", "intro"]
     text = {f: F.coalesce(F.col(f), F.lit("")) for f in fields}
@@ -210,9 +260,15 @@ def merged_profiles(df: DataFrame, order: str = "ord") -> DataFrame:
     schema = "ord long, n_merged long, " + ", ".join(f"{f} string" for f in fields)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        component, held = None, _Fold()
         for batch in batches:
-            out = [c for records in batch["records"] for c in _fold(sorted((dict(r) for r in records), key=lambda r: r["ord"]))]
-            yield pd.DataFrame(out, columns=["ord", "n_merged", *fields])
-
-    alone = grouped.select("component", F.struct(*[c for c in grouped.columns if c != "component"]).alias("r"))
-    return alone.groupBy("component").agg(F.collect_list("r").alias("records")).select("records").mapInPandas(fold, schema)
+            done: list[dict] = []
+            for r in batch.to_dict("records"):
+                if r["component"] != component:
+                    done += held.clusters
+                    component, held = r["component"], _Fold()
+                held.add(r)
+            yield pd.DataFrame(done, columns=["ord", "n_merged", *fields])
+        yield pd.DataFrame(held.clusters, columns=["ord", "n_merged", *fields])
+
+    return grouped.repartition("component").sortWithinPartitions("component", "ord").mapInPandas(fold, schema)

@@ -7,11 +7,12 @@ each item once.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import email, rules, title
+from ..functions import email, markup, rules, title
 from ..functions.names import clean_name, looks_like_name, name_beside_title
 from ..functions.text import card_intro, clean_intro, html_to_text, norm_ws, text_of
 from ..functions.url import resolve, site_root
@@ -33,8 +34,8 @@ def list_links(pages: DataFrame, most: int | None = None) -> DataFrame:
     """Distinct (name, URL) of the profile links whose text is a name, in page order."""
     p = text_of("html")
     pairs = F.arrays_zip(
-        F.regexp_extract_all(p, F.lit(rules.LIST_LINK), F.lit(1)).alias("href"),
-        F.regexp_extract_all(p, F.lit(rules.LIST_LINK), F.lit(2)).alias("inner"),
+        F.regexp_extract_all(p, F.lit(markup.LIST_LINK), F.lit(1)).alias("href"),
+        F.regexp_extract_all(p, F.lit(markup.LIST_LINK), F.lit(2)).alias("inner"),
     )
     each = pages.select("url", F.posexplode(pairs).alias("at", "link")).select("url", "at", "link.*")
     tight = F.regexp_replace(clean_intro(html_to_text("inner")), r"(?U)\s+", "")
@@ -53,9 +54,16 @@ def list_links(pages: DataFrame, most: int | None = None) -> DataFrame:
 def list_cards(pages: DataFrame, most: int | None = None) -> DataFrame:
     """Cards of a listing page; nameless ones keep an empty name for ``card_log``."""
     p = text_of("html")
-    scope = F.coalesce(F.nullif(F.regexp_extract(p, rules.CARD_SECTION, 1), F.lit("")), p)
-    parts = [F.regexp_extract_all(scope, F.lit(rules.CARD), F.lit(i)).alias(n) for i, n in ((1, "href"), (2, "head"), (3, "body"))]
-    each = pages.select("url", F.posexplode(F.arrays_zip(*parts)).alias("at", "card")).select("url", "at", "card.*")
+    after = F.locate(rules.CARD_SCRIPT.lower(), F.lower(p))
+    listed = F.when(after > 0, F.regexp_extract(F.substr(p, after), markup.LIST, 1))
+    items = F.regexp_extract_all(F.coalesce(F.nullif(listed, F.lit("")), p), F.lit(markup.ITEM), F.lit(1))
+    parts = (markup.CARD_LINK, *markup.CARD_BLOCKS, markup.CARD_HEAD, markup.CARD_BODY)
+    is_card = lambda item: reduce(Column.__and__, [item.rlike(part) for part in parts])
+    each = pages.select("url", F.posexplode(F.filter(items, is_card)).alias("at", "item")).select(
+        "url",
+        "at",
+        *[F.regexp_extract("item", part, 1).alias(n) for n, part in (("href", markup.CARD_LINK), ("head", markup.CARD_HEAD), ("body", markup.CARD_BODY))],
+    )
     head, body = clean_intro(html_to_text("head")), clean_intro(html_to_text("body"))
     both = norm_ws(F.concat(head, F.lit("\n"), body))
     rank = F.coalesce(F.nullif(title.normalise(head), F.lit("")), title.extract(both, both, clean_name(head)))
@@ -75,21 +83,22 @@ def list_widgets(pages: DataFrame, most: int | None = None) -> DataFrame:
     """Items of script arrays (titles, ids, summaries by position) joined with hidden links by id."""
     p = text_of("html")
     as_array = lambda raw: F.transform(F.coalesce(F.from_json(raw, "array<string>"), F.array().cast("array<string>")), norm_ws)
-    widgets = pages.select(
-        "url",
-        F.posexplode(
-            F.arrays_zip(
-                F.regexp_extract_all(p, F.lit(rules.WIDGET_TITLES), F.lit(1)).alias("prefix"),
-                F.regexp_extract_all(p, F.lit(rules.WIDGET_TITLES), F.lit(2)).alias("titles"),
-            )
-        ).alias("w", "widget"),
-        p.alias("html"),
-    ).select("url", "w", "widget.prefix", F.col("widget.titles").alias("titles"), "html")
-    of_prefix = lambda before, after: F.concat(F.lit(before), F.col("prefix"), F.lit(after))
+    titles = F.lit(markup.script_array(rules.WIDGET_PREFIX + "_title"))
+    found = F.arrays_zip(
+        F.regexp_extract_all(p, titles, F.lit(1)).alias("prefix"), F.regexp_extract_all(p, titles, F.lit(2)).alias("titles")
+    )
+    widgets = pages.select("url", F.posexplode(found).alias("w", "widget"), p.alias("html")).select(
+        "url", "w", "widget.prefix", F.col("widget.titles").alias("titles"), "html"
+    )
+
+    def of_prefix(pattern: str) -> Column:
+        """A pattern with the row's prefix in place of a mark."""
+        return F.replace(F.lit(pattern), F.lit("PREFIX"), F.col("prefix"))
+
     array_of = lambda kind: F.coalesce(
-        F.get(F.regexp_extract_all("html", of_prefix(r"(?i)var\s+", rf"_{kind}\s*=\s*(\[[\s\S]*?\]);"), F.lit(1)), F.lit(0)), F.lit("[]")
+        F.get(F.regexp_extract_all("html", of_prefix(markup.script_array(f"PREFIX_{kind}")), F.lit(1)), F.lit(0)), F.lit("[]")
     )
-    hidden = of_prefix(r"(?i)<a[^>]+id=[\"']", r"_(\d+)_a[\"'][^>]+href=[\"']([^\"']+)[\"']")
+    hidden = of_prefix(markup.any_case(markup.opening("a", id=r"PREFIX_(\d+)_a", href=markup.VALUE)))
     zipped = F.arrays_zip(
         as_array(F.col("titles")).alias("title"), as_array(array_of("id")).alias("id"), as_array(array_of("summary")).alias("summary")
     )
@@ -137,22 +146,24 @@ def card_log(pages: DataFrame) -> DataFrame:
 
 
 def decode_spans(pages: DataFrame, decode: Callable[[Column, Column, Column], Column] | None = None) -> DataFrame:
-    """``pages`` with encrypted spans replaced by what ``decode(root, field, content)`` gives; as they are without one."""
+    """``pages`` with encrypted spans replaced by what ``decode(root, field, content)`` gives; as they are without one.
+
+    ``decode`` takes and gives columns, evaluated per span within its row, so repeated URLs stay apart.
+    """
     if decode is None:
         return pages
     p = text_of("html")
-    spans, fields, contents = (F.regexp_extract_all(p, F.lit(rules.ENCRYPTED_SPAN), F.lit(i)) for i in (0, 1, 2))
-    gaps = F.split(p, rules.ENCRYPTED_SPAN, -1)
-    each = pages.withColumn("_root", site_root("url")).withColumn("_gaps", gaps).select(
-        "*", F.posexplode_outer(F.arrays_zip(spans.alias("span"), fields.alias("field"), contents.alias("content"))).alias("_i", "_s")
-    )
-    plain = decode(F.col("_root"), norm_ws("_s.field"), norm_ws("_s.content"))
-    opened = F.regexp_replace(F.regexp_extract("_s.span", r"^<span[^>]*>", 0), r"(?i)style=[\"'][^\"']*display\s*:\s*none;?[^\"']*[\"']|_tsites_encrypt_field=[\"']_tsites_encrypt_field[\"']", "")
-    shown = F.when((F.col("_root") != "") & (plain != ""), F.concat(opened, plain, F.lit("</span>"))).otherwise(F.col("_s.span"))
-    spliced = each.withColumn("_new", shown).groupBy("url").agg(
-        F.first("html").alias("_html"), F.first("_gaps").alias("_gaps"), F.array_sort(F.collect_list(F.struct("_i", "_new"))).alias("_new")
+    spans, fields, contents = (F.regexp_extract_all(p, F.lit(markup.ENCRYPTED_SPAN), F.lit(i)) for i in (0, 1, 2))
+    gaps = F.split(p, markup.ENCRYPTED_SPAN, -1)
+    given = pages.withColumn("_root", site_root("url")).withColumn("_gaps", gaps).withColumn(
+        "_spans", F.arrays_zip(spans.alias("span"), fields.alias("field"), contents.alias("content"))
     )
-    whole = F.array_join(
-        F.zip_with("_gaps", F.transform("_new", lambda n: n["_new"]), lambda g, n: F.concat(F.coalesce(g, F.lit("")), F.coalesce(n, F.lit("")))), ""
-    )
-    return spliced.select("url", F.when(F.size("_gaps") > 1, whole).otherwise(F.col("_html")).alias("html"))
+    opened = rf"(?i)style\s*=\s*[\"'][^\"']*display\s*:\s*none;?[^\"']*[\"']|{rules.ENCRYPTED}\s*=\s*[\"'][^\"']*[\"']"
+
+    def shown(s: Column) -> Column:
+        plain = decode(F.col("_root"), norm_ws(s["field"]), norm_ws(s["content"]))
+        tag = F.regexp_replace(F.regexp_extract(s["span"], r"^<span[^>]*>", 0), opened, "")
+        return F.when((F.col("_root") != "") & (plain != ""), F.concat(tag, plain, F.lit("</span>"))).otherwise(s["span"])
+
+    filled = F.zip_with("_gaps", F.transform("_spans", shown), lambda g, n: F.concat(F.coalesce(g, F.lit("")), F.coalesce(n, F.lit(""))))
+    return given.withColumn("html", F.when(F.size("_spans") > 0, F.array_join(filled, "")).otherwise(F.col("html"))).select(*pages.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import org
 from ..functions.text import norm_ws
-from .common import numbered
+from .common import looked_up, numbered
 from .merge import is_valid_row
 
 
@@ -50,7 +50,7 @@ def numbered_by_group(rows: DataFrame, order: str) -> DataFrame:
     keyed = with_real_org(rows).withColumn("group_key", group_key())
     over_all = numbered(keyed, ["group_key", order], "_at")
     first = over_all.groupBy("group_key").agg(F.min("_at").alias("_first"))
-    return over_all.join(first, "group_key").withColumn("number", F.col("_at") - F.col("_first") + 1).drop("_at", "_first")
+    return looked_up(over_all, first, ["group_key"]).withColumn("number", F.col("_at") - F.col("_first") + 1).drop("_at", "_first")
 
 
 def claims(manifests: DataFrame, rows: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions import rules
+from ..functions import markup, rules
 
 SPACE = r"\x09-\x0d\x1c-\x20\x85\p{Z}"
 HAN = r"\x{4e00}-\x{9fa5}"
@@ -182,3 +182,144 @@ QUALITY = {
     "email": "cast(email <> '' AS INT)",
     "intro": "least(length(intro), 200)",
 }
+
+
+# --- names, ranks, organisations, addresses of texts -------------------------------------------------------------
+
+
+def first_of(items: str) -> str:
+    return f"coalesce(({items})[1], '')"
+
+
+def filled(x: str) -> str:
+    return f"nullif({x}, '')"
+
+
+def name_candidate(x: str) -> str:
+    runs = f"list_transform(regexp_extract_all({norm_ws(x)}, '[{HAN}·]{{2,10}}'), lambda r: {clean_name('r')})"
+    return first_of(f"list_filter({runs}, lambda n: {has('n', f'^[{HAN}·]{{2,10}}$')} AND NOT {any_of('n', rules.NAME_NOISE)})")
+
+
+def path_stem(x: str) -> str:
+    last = f"regexp_extract({sub(url_part(x, 3), '/+$')}, '([^/]*)$', 1)"
+    return f"regexp_replace({last}, '(.)[.][^.]*$', '\\1')"
+
+
+def collapse(x: str) -> str:
+    return "CASE " + " ".join(f"WHEN {x} = {lit(a)} THEN {lit(b)}" for a, b in rules.COLLAPSED_TITLES.items()) + f" ELSE {x} END"
+
+
+ALIASES = "aliases(title, alias, priority) AS (VALUES " + ", ".join(
+    f"({lit(t)}, {lit(a)}, {i})" for i, (t, english) in enumerate(rules.TITLES.items()) for a in (t, *english)
+) + ")"
+
+
+def occurrences(source: str, name: str = "occ") -> str:
+    """A CTE ``id, title, priority, start, stop`` of every rank in a relation of ``id, s``, found by comparing each place with each spelling."""
+    outside = lambda c: f"NOT regexp_matches({c}, '[\\p{{L}}\\p{{N}}_]')"
+    return f"""{name} AS (SELECT DISTINCT id, title, priority, i AS start, i + length(alias) AS stop
+  FROM (SELECT id, s, title, alias, priority, unnest(range(0, length(s) - length(alias) + 1)) AS i FROM {source} JOIN aliases ON contains(lower(s), alias))
+  WHERE lower(substr(s, i + 1, length(alias))) = alias
+    AND (NOT regexp_matches(alias, '^[a-z ]+$') OR ((i = 0 OR {outside('substr(s, i, 1)')}) AND {outside('substr(s, i + 1 + length(alias), 1)')})))"""
+
+
+def first_rank(occ: str, name: str = "first_rank") -> str:
+    """A CTE ``id, title`` of the first rank other than the bare word for a teacher."""
+    return f"{name} AS (SELECT id, arg_min(title, (start, priority, start - stop)) AS title FROM {occ} WHERE title NOT IN ({', '.join(map(lit, rules.INVALID_TITLES))}) GROUP BY id)"
+
+
+def normal_title(t: str, first: str) -> str:
+    """The normal form of a rank ``t`` (normalised) whose first known rank is ``first``."""
+    specific = f"regexp_extract({t}, {lit(rules.SPECIFIC_TITLE)}, 1)"
+    return f"coalesce({filled(collapse(specific))}, {filled(collapse(first))}, CASE WHEN contains({t}, '教师') THEN '教师' END, {collapse(t)})"
+
+
+def of_name(x: str) -> str:
+    t = norm_ws(x)
+    return f"CASE WHEN contains({t}, '副教授') THEN '副教授' WHEN contains({t}, '讲师') THEN '讲师' WHEN contains({t}, '教授') THEN '教授' ELSE '' END"
+
+
+def by_level(x: str) -> str:
+    return f"CASE WHEN {has(x, rules.FULL_LEVEL)} THEN '教授' WHEN {has(x, rules.ASSOCIATE_LEVEL)} THEN '副教授' ELSE '' END"
+
+
+def context_of(text: str, name: str, before: int = 20, after: int = 400) -> str:
+    """``text`` must be stripped and ``name`` cleaned."""
+    at = f"instr({text}, {name})"
+    start = f"greatest({at} - {before}, 1)"
+    return f"CASE WHEN {text} <> '' AND {name} <> '' AND {at} > 0 THEN substr({text}, {start}, {at} + length({name}) + {after} - {start}) ELSE '' END"
+
+
+def org_name(x: str) -> str:
+    out = sub(sub(text_of(x), "[（(].*?[）)]"), rf"[{SPACE}]+")
+    return f"trim({sub(out, '^[-_ ]+|[-_ ]+$')}, ' ')"
+
+
+def extract_school(x: str) -> str:
+    signs = r"[\x{4e00}-\x{9fa5}A-Za-z0-9·（）()]+"
+    found = " || ".join(f"regexp_extract_all({text_of(x)}, {lit(f'({signs}?{s})|{signs}')}, 1)" for s in rules.SCHOOL_SUFFIXES)
+    usable = f"list_filter(list_transform({found}, lambda f: {org_name('f')}), lambda f: {looks_like_school('f')})"
+    return f"coalesce(list_sort(list_transform({usable}, lambda f, i: {{'a': -length(f), 'i': i, 'f': f}}))[1].f, '')"
+
+
+def extract_college(x: str, school: str) -> str:
+    parts = f"list_filter(list_transform(regexp_split_to_array({text_of(x)}, '[-_]'), lambda p: {org_name('p')}), lambda p: p <> '')"
+    bare = f"list_transform({parts}, lambda p: CASE WHEN {school} <> '' AND starts_with(p, {school}) THEN substr(p, length({school}) + 1) ELSE p END)"
+    good = f"list_filter({bare}, lambda p: {looks_like_college('p')})"
+    return f"coalesce(list_filter({good}, lambda p: regexp_matches(p, '(?:学院|研究院)$'))[1], ({good})[1], '')"
+
+
+def clean_stem(x: str) -> str:
+    out = text_of(x)
+    for w in rules.STEM_NOISE:
+        out = f"replace({out}, {lit(w)}, '')"
+    return sub(sub(sub(out, r"\(\d+\)$"), "[-_]+", "-"), "^[- ]+|[- ]+$")
+
+
+def undisguise(x: str) -> str:
+    tld = r"(?:com|cn|edu|net|org|gov)"
+    out = text_of(x)
+    for pattern, by in ((r"(?i)\[at\]|\(at\)|（at）", "@"), (r"(?i)\[dot\]|\(dot\)|（dot）", "."), ("&#64;|＠", "@"), ("。", ".")):
+        out = sub(out, pattern, by)
+    for _ in range(2):
+        out = sub(out, rf"(?i)([A-Za-z0-9._%+-])[{SPACE}]*[#＃][{SPACE}]*([A-Za-z0-9.-]+\.{tld})([^A-Za-z0-9_]|$)", r"\1@\2\3")
+    out = sub(sub(out, rf"[{SPACE}]*@[{SPACE}]*", "@"), rf"[{SPACE}]*\.[{SPACE}]*", ".")
+    for _ in range(2):
+        out = sub(out, rf"([\pL\p{{Nd}}\pM_])[{SPACE}]+([A-Za-z0-9._%+-]+@)", r"\1\2")
+    return sub(out, "(?i)mailto:")
+
+
+def trimmed_email(x: str) -> str:
+    marks = r"[.,;:，。；：()\[\]{}<>]+"
+    return sub(sub(norm_ws(x), f"^{marks}|{marks}$"), r"^[^\pL\p{Nd}\pM]+([A-Za-z0-9])", r"\1")
+
+
+def email_candidates(source: str, name: str = "candidates") -> str:
+    """CTEs down to ``id, k, email, score`` of a relation of ``id, k, s, bonus``: the first occurrence of every address, scored by what surrounds it."""
+    near = {k: any_of("w", v) for k, v in rules.AROUND.items()}
+    local = f"lower(split_part(email, {lit('@')}, 1))"
+    public = f"({local} IN ({', '.join(map(lit, rules.PUBLIC_MAILBOXES))}) OR {any_of(local, rules.PUBLIC_MAILBOX_PARTS)})"
+    weigh = lambda c, n: f"CASE WHEN {c} THEN {n} ELSE 0 END"
+    own, loose = f"({near['label']} AND NOT public)", f"(NOT {near['section']} AND NOT ({near['label']} AND NOT public))"
+    terms = [
+        weigh(near["label"], 30), weigh(own, 50), weigh(near["profile"], 15), weigh(near["complaint"], -80), weigh(near["section"], 45),
+        weigh(f"{near['footer']} AND {near['footer_contact']}", -180), weigh(f"{near['footer']} AND {loose}", -50), weigh("contains(w, '地址：') AND contains(w, '电话')", -40),
+        f"CASE WHEN place <= 0.45 THEN 15 WHEN place >= 0.82 AND {loose} THEN -80 WHEN place >= 0.70 AND {loose} THEN -35 ELSE 0 END", weigh("public", -50),
+    ]
+    mail = lit(markup.EMAIL)
+    return f"""
+{name}_m AS (SELECT id, k, s, bonus, unnest(regexp_extract_all(s, {mail})) AS found, unnest(regexp_split_to_array(s, {mail})[:-2]) AS gap, unnest(range(len(regexp_extract_all(s, {mail})))) AS n FROM {source} WHERE contains(s, '@')),
+{name}_o AS (SELECT *, cast(sum(length(gap) + length(found)) OVER (PARTITION BY id, k, s, bonus ORDER BY n) AS BIGINT) AS stop, {trimmed_email('found')} AS email FROM {name}_m),
+{name}_f AS (SELECT *, stop - length(found) AS start, row_number() OVER (PARTITION BY id, k, s, bonus, lower(email) ORDER BY n) AS nth FROM {name}_o WHERE email <> ''),
+{name}_w AS (SELECT *, substr(s, greatest(start - 200, 0) + 1, least(length(s), stop + 200) - greatest(start - 200, 0)) AS w, start / greatest(length(s), 1) AS place, {public} AS public FROM {name}_f WHERE nth = 1),
+{name} AS (SELECT id, k, email, cast(10 + bonus + {' + '.join(terms)} AS INT) AS score FROM {name}_w)"""
+
+
+def best_email(candidates: str, name: str, least: int = 1) -> str:
+    """A CTE ``id, email`` of the highest score, then the greatest address, if the score is enough."""
+    return f"{name} AS (SELECT id, CASE WHEN max(score) >= {least} THEN arg_max(lower(email), (score, lower(email))) ELSE '' END AS email FROM {candidates} GROUP BY id)"
+
+
+def resolve_root(x: str) -> str:
+    """``scheme://host`` of a URL that has both."""
+    return f"lower({url_part(x, 1)}) || '://' || {url_part(x, 2)}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from ..functions.text import compact, norm_ws, truncate
 from ..functions.url import path_stem
 from ..operators import enrich, merge, pages as page_operators, report, seeds
 from ..operators.common import numbered
-from ..sources import files
+from ..sources import files, workbook
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,7 @@ def seed_records(cells: DataFrame, run: Run) -> DataFrame:
         "source", given["school"].alias("school"), given["college"].alias("college"), title.of_name(stem).alias("fallback_title")
     )
     records = seeds.expand(rows, maps, defaults)
-    place = F.col("ord") * 1000 + F.col("part")
+    place = F.shiftleft("ord", 24) + F.col("part")  # a row has fewer records than cells, and those fewer than 2**24
     placed = records.withColumn("_place", place).join(
         F.broadcast(defaults.select("source", F.col("school").alias("_s"), F.col("college").alias("_c"))), "source"
     )
@@ -96,9 +97,11 @@ def profile_records(pages: DataFrame, run: Run) -> DataFrame:
     )
 
 
-def run(records: DataFrame, pages: DataFrame, told: Run, ocr_text: Column | None = None) -> dict[str, DataFrame]:
-    """``rows``, ``log`` and ``counters`` of a run over its records."""
-    done = enrich.enriched(records, pages, ocr_text)
+def run(
+    records: DataFrame, pages: DataFrame, told: Run, ocr_text: Column | None = None, decode: Callable[[Column, Column, Column], Column] | None = None
+) -> dict[str, DataFrame]:
+    """``rows``, ``log`` and ``counters`` of a run over its records; encrypted spans are decoded before anything is read."""
+    done = enrich.enriched(records, page_operators.decode_spans(pages, decode), ocr_text)
     log = enrich.enrichment_log(done)
     merged = merge.merged_profiles(done, "ord") if told.merge_duplicates else done
     rows, counters = exported(merged, told)
@@ -123,6 +126,20 @@ def clean_stored(rows: DataFrame, order: str = "ord") -> DataFrame:
 
 
 def resync(day_rows: DataFrame, path: str) -> int:
-    """The summary written anew as one CSV file; its number of rows."""
-    columns = [F.col("number").alias("seq"), *rules.REQUIRED]
-    return files.write_small_csv(day_rows.orderBy("number").select(*columns), path, rules.HEADERS)
+    """The summary written anew as one workbook, or as one CSV file by its name; its number of rows.
+
+    A workbook holds a sheet of all rows and one for each school and college.
+    """
+    ordered = day_rows.orderBy("number").select(F.col("number").alias("seq"), *rules.REQUIRED)
+    if not path.lower().endswith(".xlsx"):
+        return files.write_small_csv(ordered, path, rules.HEADERS)
+    if ordered.limit(workbook.MOST_ROWS).count() >= workbook.MOST_ROWS:
+        raise ValueError("more rows than a workbook holds; use write_partitioned")
+    rows = [tuple(r) for r in ordered.collect()]
+    at = {c: i for i, c in enumerate(rules.COLUMNS)}
+    groups: dict[str, list[tuple]] = {}
+    for r in rows:
+        group = groups.setdefault(f"{r[at['school']]}-{r[at['college']]}", [])
+        group.append((len(group) + 1, *r[1:]))
+    workbook.write_workbook(path, [("汇总", rules.HEADERS, rows), *[(g, rules.HEADERS, v) for g, v in groups.items()]])
+    return len(rows)

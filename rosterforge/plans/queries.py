@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import email, names, org, rules, simple, text, title, url
+from ..functions import email, markup, names, org, rules, simple, text, title, url
 from ..operators import drift, enrich, merge, report, seeds
 from . import oracle as q
 from .pipeline import Run, projected
@@ -68,18 +68,6 @@ def intro_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
-def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First line of content, first rank and best address of every captured text."""
-    docs = table(spark, sf_dir, "documents").withColumn("_t", text.html_to_text("text"))
-    return docs.select(
-        "doc_id",
-        text.page_intro("text", "_t").alias("intro"),
-        title.first_in("_t").alias("title"),
-        email.best(email.candidates(email.undisguise("_t"), "text")).alias("email"),
-    )
-
-
 # --- names -----------------------------------------------------------------------------------------------------
 
 
@@ -93,9 +81,9 @@ def name_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spark, sf_dir).select("row_id", names.name_quality("name").alias("quality"), names.looks_like_name("name").alias("is_name"))
 
 
-@query()
+@query(f"SELECT row_id, {q.name_candidate('intro')} AS name FROM template_rows")
 def name_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First name in the texts of log entries and intros."""
+    """First run of signs in an intro that looks like a name."""
     return rows_of(spark, sf_dir).select("row_id", names.name_candidate("intro").alias("name"))
 
 
@@ -142,7 +130,10 @@ def org_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    f"SELECT run_id, s AS school, coalesce({q.filled('c')}, {q.extract_college('k', 's')}) AS college, coalesce(list_filter(regexp_split_to_array(o, '[-_—{q.SPACE}]+'), lambda p: regexp_matches(p, '学院|学部|研究院|中心|系'))[1], {q.filled('o')}, '未填写学院') AS named "
+    f"FROM (SELECT run_id, k, o, c, coalesce({q.filled('g')}, {q.extract_school('k')}) AS s FROM (SELECT run_id, {q.clean_stem(q.path_stem('coalesce(input_path, list_page_url)'))} AS k, {q.norm_ws(q.path_stem('output_path'))} AS o, {q.norm_ws('college')} AS c, {q.norm_ws('school')} AS g FROM manifests))"
+)
 def org_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """School and college of every run: what it was told, else what its path or page address says."""
     where = F.coalesce("input_path", "list_page_url")
@@ -152,7 +143,9 @@ def org_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    f"SELECT doc_id, s AS school, {q.extract_college('t', 's')} AS college FROM (SELECT doc_id, t, {q.extract_school('t')} AS s FROM (SELECT doc_id, {q.norm_ws('text')} AS t FROM documents))"
+)
 def org_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """School and college named in every captured text."""
     named = text.let(
@@ -189,28 +182,23 @@ def org_first_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- addresses -------------------------------------------------------------------------------------------------
 
 
-@query()
+@query(
+    f"SELECT row_id, {q.undisguise('email')} AS email, CASE WHEN contains(e, '@') THEN left(sha256(split_part(e, '@', 1)), 12) || '@' || list_last(string_split(e, '@')) ELSE '' END AS masked FROM (SELECT row_id, email, lower(coalesce(email, '')) AS e FROM template_rows)"
+)
 def email_undisguised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spark, sf_dir).select("row_id", email.undisguise("email").alias("email"), email.masked("email").alias("masked"))
 
 
 @query(
-    f"SELECT doc_id, cast(len(list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), {q.lit(rules.EMAIL)}), lambda e: lower(e)))) AS BIGINT) AS n_addresses FROM documents"
+    f"SELECT doc_id, cast(len(list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), {q.lit(markup.EMAIL)}), lambda e: lower(e)))) AS BIGINT) AS n_addresses FROM documents"
 )
 def email_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.regexp_extract_all(text.text_of("text"), F.lit(rules.EMAIL), F.lit(0))
+    found = F.regexp_extract_all(text.text_of("text"), F.lit(markup.EMAIL), F.lit(0))
     return table(spark, sf_dir, "documents").select(
         "doc_id", F.size(F.array_distinct(F.transform(found, F.lower))).cast("long").alias("n_addresses")
     )
 
 
-@query()
-def email_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every address of every captured text with its score."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.explode(email.candidates(email.undisguise("text"), "text")).alias("c"))
-    return docs.select("doc_id", "c.email", "c.score")
-
-
 @query(
     f"SELECT row_id, len(regexp_extract_all({q.text_of('email')}, {q.lit(simple.EMAIL)})) > 0 AS has_address, "
     f"coalesce(regexp_extract({q.text_of('email')}, {q.lit(simple.EMAIL)}), '') AS first_address FROM template_rows"
@@ -226,7 +214,10 @@ def email_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ranks -----------------------------------------------------------------------------------------------------
 
 
-@query()
+@query(
+    f"WITH t AS MATERIALIZED (SELECT row_id AS id, {q.norm_ws('title')} AS s FROM template_rows), {q.ALIASES}, {q.occurrences('t')}, {q.first_rank('occ')} "
+    f"SELECT t.id AS row_id, {q.normal_title('t.s', 'f.title')} AS title FROM t LEFT JOIN first_rank f ON f.id = t.id"
+)
 def title_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spark, sf_dir).select("row_id", title.normalise("title").alias("title"))
 
@@ -252,7 +243,12 @@ def title_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.groupBy("doc_id", "title").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(
+    f"WITH t AS MATERIALIZED (SELECT row_id AS id, concat_ws(' ', title, name, intro) AS s, {q.strip("concat_ws(' ', title, name, intro)")} AS b, {q.clean_name('name')} AS n FROM template_rows), {q.ALIASES}, {q.occurrences('t')}, "
+    "d AS (SELECT o.id, o.title, o.priority, o.start, o.stop, instr(t.s, t.n) - 1 AS a, instr(t.s, t.n) - 1 + length(t.n) AS e FROM occ o JOIN t ON t.id = o.id AND t.n <> '' AND contains(t.s, t.n)), "
+    f"g AS (SELECT *, CASE WHEN stop <= a THEN a - stop WHEN start >= e THEN start - e ELSE 0 END AS far FROM d), r AS (SELECT id, arg_min(title, (far, priority, start, start - stop)) AS title FROM g WHERE far <= {title.NEAR} GROUP BY id) "
+    f"SELECT t.id AS row_id, coalesce(r.title, '') AS title, {q.context_of('t.b', 't.n')} AS context FROM t LEFT JOIN r ON r.id = t.id"
+)
 def title_near_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rank that stands nearest the name within a row's rank and intro."""
     around = F.concat_ws(" ", "title", "name", "intro")
@@ -263,14 +259,20 @@ def title_near_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usable seed records as ragged rows ``source, ord, cells``; the keys of a file's first record are its header."""
+    """Usable seed records as ragged rows ``source, ord, cells``; the keys of a file's first record are its header.
+
+    Values stand under their own key whatever their order; further keys of later records follow behind.
+    """
     members = F.from_json("record", "map<string,string>", {"mode": "PERMISSIVE"})
     lines = table(spark, sf_dir, "seed_lines").where(F.try_parse_json("record").isNotNull()).select(F.col("file_id").alias("source"), "line_id", members.alias("m"))
     keyed = lines.where(F.size("m") > 0)
-    header = keyed.groupBy("source").agg(F.min_by(F.map_keys("m"), "line_id").alias("cells")).withColumn("ord", F.lit(-1).cast("long"))
+    header = keyed.groupBy("source").agg(F.min_by(F.map_keys("m"), "line_id").alias("keys"))
     at = F.row_number().over(Window.partitionBy("source").orderBy("line_id")) - 1
-    data = keyed.select("source", at.cast("long").alias("ord"), F.transform(F.map_values("m"), lambda v: F.coalesce(v, F.lit(""))).alias("cells"))
-    return data.unionByName(header)
+    placed = keyed.withColumn("ord", at.cast("long")).join(header, "source")
+    further = F.filter(F.map_keys("m"), lambda k: ~F.array_contains("keys", k))
+    value = lambda k: F.coalesce(F.try_element_at("m", k), F.lit(""))
+    data = placed.select("source", "ord", F.transform(F.concat("keys", further), value).alias("cells"))
+    return data.unionByName(header.select("source", F.lit(-1).cast("long").alias("ord"), F.col("keys").alias("cells")))
 
 
 _HEADS = "h AS (SELECT file_id, arg_min(json_keys(record), line_id) AS keys FROM seed_lines WHERE json_valid(record) AND json_type(record) = 'OBJECT' GROUP BY file_id)"
@@ -339,22 +341,6 @@ def log_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.join(best.withColumn("_f", F.lit(True)), "u", "left").select("log_id", blank("title"), blank("email"), F.coalesce("_f", F.lit(False)).alias("found"))
 
 
-@query()
-def page_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A record per captured page, its blank fields filled from the page's text."""
-    docs = table(spark, sf_dir, "documents").where("page_url IS NOT NULL")
-    pages = docs.select(F.col("page_url").alias("url"), text.text_of("text").alias("html"))
-    given = {"name": "", "school": "", "college": "", "title": "", "email": "", "intro": ""}
-    records = docs.select(F.col("doc_id").alias("ord"), F.col("page_url").alias("profile_url"), *[F.lit(v).alias(k) for k, v in given.items()])
-    return enrich.enriched(records, pages).select("ord", "name", "school", "college", "title", "email", "intro", "found")
-
-
-@query()
-def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the enrichment of captured pages would log, by message."""
-    return enrich.enrichment_log(page_enriched(spark, sf_dir).withColumn("profile_url", F.lit("https://x"))).groupBy("severity", "message").agg(F.count("*").alias("n"))
-
-
 @query(
     f"SELECT run_id, output_path FROM manifests m WHERE NOT EXISTS (SELECT 1 FROM template_rows t WHERE t.run_id = m.run_id AND {q.is_valid_row('t.')})"
 )
@@ -367,12 +353,12 @@ def runs_without_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT row_id, {q.IDENTITY} FROM ({q.ROWS})")
 def row_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows_of(spark, sf_dir).select("row_id", merge.identity().alias("i")).select("row_id", "i.*")
+    return merge.cleaned(rows_of(spark, sf_dir)).select("row_id", merge.identity().alias("i")).select("row_id", "i.*")
 
 
 @query(f"SELECT row_id, {', '.join(f'cast({e} AS INT) AS {k}' for k, e in q.QUALITY.items())} FROM ({q.ROWS})")
 def row_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows_of(spark, sf_dir).select("row_id", merge.quality().alias("i")).select("row_id", "i.*")
+    return merge.cleaned(rows_of(spark, sf_dir)).select("row_id", merge.quality().alias("i")).select("row_id", "i.*")
 
 
 _RANKED = f"""
@@ -424,7 +410,12 @@ def profiles_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merged_profiles(rows)
 
 
-@query()
+@query(
+    f"WITH t AS MATERIALIZED (SELECT row_id AS id, {q.norm_ws('title')} AS s FROM template_rows), {q.ALIASES}, {q.occurrences('t')}, {q.first_rank('occ')}, "
+    f"x AS (SELECT r.*, {q.normal_title('t.s', 'f.title')} AS rank FROM template_rows r JOIN t ON t.id = r.row_id LEFT JOIN first_rank f ON f.id = t.id) "
+    f"SELECT row_id AS ord, {q.compact(q.clean_name('name'))} AS name, CASE WHEN rank = '' AND {q.norm_ws('email')} <> '' THEN '教授' ELSE {q.compact('rank')} END AS title, {q.compact('email')} AS email, {q.compact('school')} AS school, {q.compact('college')} AS college, "
+    f"'collector' AS collector, '2025-01-01' AS collected_at, {q.compact(q.truncate(q.norm_ws('intro'), 200))} AS intro, {q.compact('profile_url')} AS profile_url, rank = '' AND {q.norm_ws('email')} <> '' AS title_imputed FROM x"
+)
 def rows_projected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as template rows, with blank ranks beside an address imputed and marked."""
     rows = rows_of(spark, sf_dir).select(F.col("row_id").alias("ord"), "name", "profile_url", "school", "college", "title", "email", "intro")
@@ -524,8 +515,11 @@ def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from . import page_queries  # noqa: F401 - registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLES)

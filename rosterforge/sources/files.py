@@ -8,43 +8,41 @@ import io
 import json
 import os
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import norm_ws
+from ..functions.text import SPACES, norm_ws
 
-#: The most cells of a ragged row that are kept.
-WIDTH = 128
-
-
-def read_ragged_csv(spark: SparkSession, path: str | list[str], width: int = WIDTH) -> DataFrame:
+def read_ragged_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``source, ord, cells`` of CSV files of any width; ``ord`` is -1 for the header row, blank rows are dropped.
 
     A byte order mark is ignored; quoted line ends and doubled quotes are kept.
-    A file is read by one task, since only that keeps the order of its rows.
+    A file is read by one task, since only that keeps the order of its rows;
+    these are seed files made by hand, and Spark refuses one above 2 GB.
     """
-    names = [f"_{i}" for i in range(width)]
-    raw = (
-        spark.read.schema(", ".join(f"{n} string" for n in names))
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("header", False)
-        .csv(path)
-        .select("*", F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("_at"))
-    )
-    cells = F.array(*names)
-    last = F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1).otherwise(0)))
-    kept = raw.select(
-        "source", "_at", F.transform(F.slice(cells, F.lit(1), F.greatest(last, F.lit(0))), lambda c: F.coalesce(c, F.lit(""))).alias("cells")
-    )
-    header = F.row_number().over(Window.partitionBy("source").orderBy("_at")) == 1
-    filled = F.exists("cells", lambda c: norm_ws(c) != "")
-    numbered = kept.withColumn("_header", header).where(F.col("_header") | filled)
-    at = F.row_number().over(Window.partitionBy("source").orderBy("_at")) - 2
-    return numbered.select("source", at.cast("long").alias("ord"), "cells")
+    paths = [path] if isinstance(path, str) else path
+    raw = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("source"), "content")
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(2**31 - 1)
+        for batch in batches:
+            for source, content in zip(batch["source"], batch["content"]):
+                reader = csv.reader(io.StringIO(bytes(content).decode("utf-8-sig", "replace"), newline=""))
+                kept = ((i - 1, cells) for i, cells in enumerate(chain(islice(reader, 1), filter(any_filled, reader))))
+                while part := list(islice(kept, 10_000)):
+                    yield pd.DataFrame({"source": source, "ord": [i for i, _ in part], "cells": [c for _, c in part]})
+
+    return raw.mapInPandas(parse, "source string, ord long, cells array<string>")
+
+
+def any_filled(cells: list[str]) -> bool:
+    """Whether a row holds anything but white space and byte order marks."""
+    return any(c.strip("\ufeff" + SPACES) for c in cells)
 
 
 def template_rows(cells: DataFrame) -> DataFrame:
@@ -52,7 +50,7 @@ def template_rows(cells: DataFrame) -> DataFrame:
     head = cells.where("ord = -1").select("source", F.transform(F.slice("cells", 1, len(rules.HEADERS)), norm_ws).alias("_head"))
     ours = head.where(F.col("_head") == F.array(*[F.lit(h) for h in rules.HEADERS])).select("source")
     at = lambda i: norm_ws(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
-    return cells.where("ord >= 0").join(F.broadcast(ours), "source", "left_semi").select(
+    return cells.where("ord >= 0").join(ours, "source", "left_semi").select(
         "source", "ord", *[at(i).alias(c) for i, c in enumerate(rules.COLUMNS)]
     )
 
@@ -121,6 +119,42 @@ def write_partitioned(rows: DataFrame, path: str) -> None:
         rows.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
 
 
+def is_within(root: str, path: str) -> bool:
+    """Whether a path lies under a root, after both are made plain."""
+    plain = lambda p: os.path.normpath(p.replace("\\", "/")).rstrip("/")
+    return (plain(path) + "/").startswith(plain(root) + "/")
+
+
+def _located(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop path and its file system, so that shared stores and local folders are reached alike."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of what a folder holds, in order; none if it doesn't exist."""
+    at, store = _located(spark, path)
+    return sorted(s.getPath().toString() for s in store.listStatus(at)) if store.exists(at) else []
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, store = _located(spark, path)
+    return store.exists(at)
+
+
+def removed(spark: SparkSession, root: str, paths: Iterable[str]) -> list[str]:
+    """Files or folders under ``root`` deleted; those that were there are returned, any outside is refused."""
+    paths, gone = list(paths), []
+    for path in paths:
+        if not is_within(root, path) or is_within(path, root):
+            raise ValueError(f"{path} doesn't lie under {root}")
+    for path in paths:
+        at, store = _located(spark, path)
+        if store.exists(at) and store.delete(at, True):
+            gone.append(path)
+    return gone
+
+
 def write_run_log(path: str, counters: dict, log: DataFrame) -> None:
     """Counters as one JSON document, entries as JSON lines beside it."""
     log.write.mode("overwrite").json(os.path.join(path, "entries"))

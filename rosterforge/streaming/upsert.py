@@ -6,13 +6,13 @@ writes its version again from the version before it, so the result is the same.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import merge
+from ..sources import files
 
 
 def merge_batch(snapshot: str) -> Callable[[DataFrame, int], None]:
@@ -20,23 +20,22 @@ def merge_batch(snapshot: str) -> Callable[[DataFrame, int], None]:
 
     def apply(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        before = latest(snapshot, below=number)
+        before = latest(spark, snapshot, below=number)
         existing = spark.read.parquet(before) if before else batch.limit(0)
-        merge.upserted(existing, batch).write.mode("overwrite").parquet(os.path.join(snapshot, f"batch={number:012d}"))
+        merge.upserted(existing, batch).write.mode("overwrite").parquet(f"{snapshot.rstrip('/')}/batch={number:012d}")
 
     return apply
 
 
-def latest(snapshot: str, below: int | None = None) -> str | None:
-    """Folder of the newest complete version, or of the newest before a batch."""
+def latest(spark: SparkSession, snapshot: str, below: int | None = None) -> str | None:
+    """Folder of the newest complete version, or of the newest before a batch, on whatever store the snapshot lies."""
     found = []
-    if os.path.isdir(snapshot):
-        for name in os.listdir(snapshot):
-            folder = os.path.join(snapshot, name)
-            if name.startswith("batch=") and os.path.exists(os.path.join(folder, "_SUCCESS")):
-                number = int(name.partition("=")[2])
-                if below is None or number < below:
-                    found.append((number, folder))
+    for folder in files.listed(spark, snapshot):
+        name = folder.rstrip("/").rpartition("/")[2]
+        number = name.removeprefix("batch=")
+        if name.startswith("batch=") and number.isdigit() and files.exists(spark, folder + "/_SUCCESS"):
+            if below is None or int(number) < below:
+                found.append((int(number), folder))
     return max(found)[1] if found else None
 
 

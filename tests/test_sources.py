@@ -78,6 +78,6 @@ def test_stream_of_rows(spark, tmp_path):
         spark.createDataFrame([(n, *full[:2], title, *full[3:8], "张三" + "好" * n, full[9])], schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
         upsert.upsert_stream(stream, snapshot, str(tmp_path / "cp")).awaitTermination()
-    rows = spark.read.parquet(upsert.latest(snapshot)).collect()
+    rows = spark.read.parquet(upsert.latest(spark, snapshot)).collect()
     assert [(r["name"], r["title"]) for r in rows] == [("张三", "教授")]
     assert len([d for d in os.listdir(snapshot) if d.startswith("batch=")]) == 2
