@@ -30,10 +30,9 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
 def enriched(records: DataFrame, pages: DataFrame, ocr_text: Column | None = None) -> DataFrame:
     """``records`` with ``found`` (whether a page was there); the page's organisation overrides, blanks are filled."""
     keyed = records.withColumn("page_key", F.when(norm_ws("profile_url") != "", without_fragment(norm_ws("profile_url"))))
-    # Records without URL don't shuffle to one task by their missing key.
-    met = keyed.where("page_key IS NOT NULL").join(distinct_pages(pages), "page_key", "left")
-    unkeyed = keyed.where("page_key IS NULL").withColumn("html", F.lit(None).cast("string"))
-    joined = met.unionByName(unkeyed).withColumn("found", F.col("html").isNotNull())
+    # A key of its own for each record without URL: a missing one would send them all to one task.
+    keyed = keyed.withColumn("page_key", F.coalesce("page_key", F.concat(F.lit("\u0001"), F.col("ord").cast("string"))))
+    joined = keyed.join(distinct_pages(pages), "page_key", "left").withColumn("found", F.col("html").isNotNull())
     page = F.col("html")
     joined = joined.withColumn("_text", html_to_text(page)).withColumn("_org", org.org_of_page("profile_url", page))
     filled = lambda *c: F.coalesce(*[F.nullif(norm_ws(x), F.lit("")) for x in c], F.lit(""))
