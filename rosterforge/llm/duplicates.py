@@ -56,12 +56,8 @@ def hot_keys(keyed: DataFrame, total: int, hot_share: int = HOT_SHARE) -> DataFr
     return counts.where(F.col("n") * F.lit(hot_share) > F.lit(total)).select("key", F.lit(True).alias("hot"))
 
 
-def collapse(
-    df: DataFrame, id_col: str, fields: Sequence[str], hot_share: int = HOT_SHARE, salts: int = SALTS
-) -> DataFrame:
-    """One row per group of records equal up to form: ``key, representative, copies``."""
-    keyed = keyed_rows(df, id_col, fields)
-    hot = hot_keys(keyed, df.count(), hot_share)
+def _collapsed(keyed: DataFrame, total: int, hot_share: int, salts: int) -> DataFrame:
+    hot = hot_keys(keyed, total, hot_share)
     marked = keyed.join(F.broadcast(hot), "key", "left")
     plain = (
         marked.where(F.col("hot").isNull())
@@ -79,10 +75,33 @@ def collapse(
     return plain.unionByName(salted)
 
 
-def membership(df: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
-    """``id, key, representative, copies`` of every row that has a copy."""
-    groups = collapse(df, id_col, fields).where("copies > 1")
-    return keyed_rows(df, id_col, fields).join(groups, "key")
+def collapse(
+    df: DataFrame, id_col: str, fields: Sequence[str], hot_share: int = HOT_SHARE, salts: int = SALTS
+) -> DataFrame:
+    """One row per group of records equal up to form: ``key, representative, copies``.
+
+    This and ``membership`` are the forms that scale; ``pairs`` lists them out.
+    """
+    keyed = checkpointed(keyed_rows(df, id_col, fields))
+    return _collapsed(keyed, keyed.count(), hot_share, salts)
+
+
+def membership(
+    df: DataFrame, id_col: str, fields: Sequence[str], hot_share: int = HOT_SHARE, salts: int = SALTS
+) -> DataFrame:
+    """``id, key, representative, copies, is_hot`` of every row that has a copy.
+
+    The keys are computed once. Rows of hot keys meet their group by broadcast
+    where they are, so no task holds such a key; the others by one shuffle.
+    """
+    keyed = checkpointed(keyed_rows(df, id_col, fields))
+    total = keyed.count()
+    is_hot = F.col("copies") * F.lit(hot_share) > F.lit(total)
+    groups = checkpointed(_collapsed(keyed, total, hot_share, salts).where("copies > 1").withColumn("is_hot", is_hot))
+    hot = groups.where("is_hot")  # at most hot_share rows
+    found = keyed.join(F.broadcast(hot), "key")
+    rest = keyed.join(F.broadcast(hot.select("key")), "key", "left_anti").join(groups.where("NOT is_hot"), "key")
+    return found.unionByName(rest)
 
 
 def pairs(df: DataFrame, id_col: str, fields: Sequence[str], salts: int = SALTS, hot_share: int = HOT_SHARE) -> DataFrame:
@@ -93,14 +112,12 @@ def pairs(df: DataFrame, id_col: str, fields: Sequence[str], salts: int = SALTS,
     single task holds such a group. Identical identifiers form no pair, and a
     repeated identifier lists its pairs once per occurrence.
     """
-    total = df.count()
-    members = checkpointed(membership(df, id_col, fields).select("id", "key", "copies"))
-    is_hot = F.col("copies") * F.lit(hot_share) > F.lit(total)
-    own = F.when(is_hot, F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    members = checkpointed(membership(df, id_col, fields, hot_share, salts).select("id", "key", "is_hot"))
+    own = F.when(F.col("is_hot"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     left = members.select(
         F.col("id").alias("id_a"),
         "key",
-        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("block"),
+        F.explode(F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("block"),
     )
     right = members.select(F.col("id").alias("id_b"), "key", own.alias("block"))
     return left.join(right, ["key", "block"]).where("id_a < id_b").select("id_a", "id_b")

@@ -47,3 +47,12 @@ def test_fields_out_of_place_and_blank_only_equals_blank(spark):
 def test_empty_table(spark):
     empty = frame(spark, [])
     assert d.collapse(empty, "id", FIELDS).count() == 0 and d.pairs(empty, "id", FIELDS).count() == 0
+
+
+def test_membership_of_hot_and_other_groups(spark):
+    from rosterforge.llm import duplicates as u
+
+    rows = [(i, "Ann", "u", "") for i in range(60)] + [(100 + i, f"p{i // 2}", "u", "") for i in range(40)] + [(900, "alone", "u", None)]
+    df = spark.createDataFrame(rows, "id long, name string, url string, mail string")
+    got = {r["id"]: (r["representative"], r["copies"], r["is_hot"]) for r in u.membership(df, "id", ("name", "url", "mail"), hot_share=10).collect()}
+    assert got == {i: (0, 60, True) for i in range(60)} | {100 + i: (100 + i // 2 * 2, 2, False) for i in range(40)}
