@@ -1,19 +1,21 @@
 """Problem 4: freely typed values mapped to the entries of a reference list.
 
 Every spelling of every reference entry goes into a symmetric-delete
-dictionary: each spelling is filed under all strings that arise from it by at
-most d deletions. A typed value meets its candidates by looking up its own
-deletions; they are ranked by weighted Damerau-Levenshtein distance, then by
+dictionary: each spelling is filed under all strings that arise from its first
+``PREFIX`` signs by at most d deletions; within d edits two strings' beginnings
+always have such a string in common. A typed value meets its candidates by
+looking up its own deletions; they are ranked by weighted Damerau-Levenshtein distance, then by
 how often the entry is spelled out in the data. Before that, a spelling that
 the value contains is taken (the longest), unless a longer spelling lies one
 edit away from the whole; after that, an abbreviation is read as a
 subsequence of one entry only. The name of the scope itself (the part after
 its last slash) is dropped from the front. What remains is a miss, reported with id 0.
 
-The dictionary is shipped to the workers; ``REFERENCE_BLOCK`` bounds how many
-entries are shipped at once, and a longer list is handled in blocks whose best
-candidates are compared. Rows never shuffle: each worker maps its rows and
-remembers the values it has met.
+The dictionary is built once and broadcast; ``REFERENCE_BLOCK`` bounds how
+many entries it has, and a longer list is handled in blocks, each of which
+hands on the best candidate so far. Contained spellings are found by their
+first two signs at each place of the value. Rows never shuffle: each worker
+maps its rows and remembers the values it has met.
 
 Defined results: blank values give no row; a value spelled exactly like a
 reference entry gives none either; an empty reference list reports every value
@@ -30,11 +32,14 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of a reference list that are shipped to the workers at once.
-REFERENCE_BLOCK = 50_000
+#: Signs from which deletions are made.
+PREFIX = 12
+#: Entries of a reference list in one broadcast dictionary (some 10 kB each).
+REFERENCE_BLOCK = 5_000
 #: Values that a worker remembers before it starts afresh.
 REMEMBERED = 200_000
 
@@ -127,15 +132,20 @@ class Entry:
     uses: int = 0
 
 
+def _lists() -> defaultdict:
+    return defaultdict(list)
+
+
 @dataclass
 class Dictionary:
     """Symmetric-delete dictionary over the spellings of one block of entries."""
 
     entries: list[Entry]
-    exact: dict[tuple[str, str], list[Entry]] = field(default_factory=lambda: defaultdict(list))
-    filed: dict[tuple[str, str], list[tuple[str, Entry]]] = field(default_factory=lambda: defaultdict(list))
-    by_scope: dict[str, list[tuple[str, Entry]]] = field(default_factory=lambda: defaultdict(list))
-    cores: dict[str, list[Entry]] = field(default_factory=lambda: defaultdict(list))
+    exact: dict[tuple[str, str], list[Entry]] = field(default_factory=_lists)
+    filed: dict[tuple[str, str], list[tuple[str, Entry]]] = field(default_factory=_lists)
+    #: Spellings by their scope and first two signs.
+    begun: dict[tuple[str, str], list[tuple[str, Entry]]] = field(default_factory=_lists)
+    cores: dict[str, list[Entry]] = field(default_factory=_lists)
     #: Signs of the longest spelling with its allowed edits.
     longest: int = 0
 
@@ -147,9 +157,10 @@ class Dictionary:
                 if not s:
                     continue
                 self.exact[e.scope, s].append(e)
-                self.by_scope[e.scope].append((s, e))
+                if len(s) >= 2:
+                    self.begun[e.scope, s[:2]].append((s, e))
                 self.longest = max(self.longest, len(s) + allowed(len(s)))
-                for d in deletions(s, allowed(len(s))):
+                for d in deletions(s[:PREFIX], allowed(len(s))):
                     self.filed[e.scope, d].append((s, e))
 
     def close(self, scope: str, v: str) -> tuple[float, int, int, int] | None:
@@ -157,7 +168,7 @@ class Dictionary:
         found: dict[tuple[str, int], tuple[float, int, int, int]] = {}
         if len(v) > self.longest:
             return None
-        for d in deletions(v, 2 if len(v) >= 5 else 1):
+        for d in deletions(v[:PREFIX], 2 if len(v) >= 5 else 1):
             for s, e in self.filed.get((scope, d), ()):
                 if (s, e.ref_id) in found or len(s) < 2:
                     continue
@@ -169,13 +180,12 @@ class Dictionary:
 
     def contained(self, scope: str, v: str) -> tuple[int, int, int] | None:
         """Longest spelling that the value contains: (-length, -uses, id)."""
-        padded, found = f" {v} ", []
-        for s, e in self.by_scope.get(scope, ()):
-            if len(s) < 2 or s not in v:
-                continue
-            if s.isascii() and not re.search(rf"(?<![a-z]){re.escape(s)}(?![a-z])", padded):
-                continue
-            found.append((-len(s), -e.uses, e.ref_id))
+        found = []
+        for i in range(len(v) - 1):
+            for s, e in self.begun.get((scope, v[i : i + 2]), ()):
+                beside = v[max(0, i - 1) : i] + v[i + len(s) : i + len(s) + 1]
+                if v.startswith(s, i) and not (s.isascii() and re.search("[a-z]", beside)):
+                    found.append((-len(s), -e.uses, e.ref_id))
         return min(found, default=None)
 
     def shortened(self, scope: str, v: str) -> int | None:
@@ -218,40 +228,38 @@ def _in_order(part: str, whole: str) -> bool:
 
 
 def map_values(rows: DataFrame, columns: list[str], entries: Iterable[Entry], block: int = REFERENCE_BLOCK) -> DataFrame:
-    """``columns`` + ``ref_id`` for rows with ``scope`` and ``value``; id 0 marks a miss.
+    """``columns`` + ``ref_id, tier`` for rows with ``scope`` and ``value``; id 0 and tier 9 mark a miss.
 
+    Tiers: 0 spelled alike after cleaning, 1 within the allowed edits, 2
+    contained, 3 a part within the allowed edits, 4 an abbreviation.
     ``entries`` may be of any length; at most ``block`` of them are in a
     worker's memory at once.
     """
-    kept = rows.select(*columns, F.col("scope").alias("_map_scope"), F.col("value").alias("_map_value"))
     every = list(entries)
     blocks = [every[i : i + block] for i in range(0, len(every), block)] or [[]]
-    schema = ", ".join(f"`{n}` {t}" for n, t in kept.select(*columns).dtypes)
-
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dictionaries = (Dictionary(b) for b in blocks) if len(blocks) > 1 else [Dictionary(blocks[0])]
-        if len(blocks) > 1:  # one block in memory at a time: the partition's rows wait in their Arrow batches
-            frames = list(batches)
-            best: dict[tuple[str, str], tuple] = {}
-            for d in dictionaries:
-                for frame in frames:
-                    for k in set(zip(frame["_map_scope"], frame["_map_value"])):
-                        best[k] = min(best.get(k, (9, 0.0, 0, 0)), d.best(*k))
-            for frame in frames:
-                yield frame[columns].assign(ref_id=[best[k][3] for k in zip(frame["_map_scope"], frame["_map_value"])])
-            return
-        known: dict[tuple[str, str], int] = {}
-        for frame in batches:
-            ids = []
-            for k in zip(frame["_map_scope"], frame["_map_value"]):
-                if k not in known:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[k] = dictionaries[0].best(*k)[3]
-                ids.append(known[k])
-            yield frame[columns].assign(ref_id=ids)
-
-    return kept.mapInPandas(apply, f"{schema}, ref_id long")
+    state = {"_map_tier": (9, "int"), "_map_far": (0.0, "double"), "_map_uses": (0, "long"), "_map_id": (0, "long")}
+    found = rows.select(
+        *columns, F.col("scope").alias("_map_scope"), F.col("value").alias("_map_value"), *[F.lit(v).cast(kind).alias(n) for n, (v, kind) in state.items()]
+    )
+    for entries_of_block in blocks:
+        shipped = rows.sparkSession.sparkContext.broadcast(Dictionary(entries_of_block))
+
+        def apply(batches: Iterator[pd.DataFrame], shipped: Broadcast = shipped) -> Iterator[pd.DataFrame]:
+            dictionary = shipped.value
+            known: dict[tuple[str, str], tuple] = {}
+            for frame in batches:
+                out = []
+                for *k, tier, far, uses, ref_id in zip(*[frame[n] for n in ("_map_scope", "_map_value", *state)]):
+                    k = tuple(k)
+                    if k not in known:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        known[k] = dictionary.best(*k)
+                    out.append(min((tier, far, uses, ref_id), known[k]))
+                yield frame.assign(**{n: [o[i] for o in out] for i, n in enumerate(state)})
+
+        found = found.mapInPandas(apply, found.schema)
+    return found.select(*columns, F.col("_map_id").alias("ref_id"), F.col("_map_tier").alias("tier"))
 
 
 def rank_entries(titles: list[tuple[int, str, str]], uses: dict[str, int]) -> list[Entry]:

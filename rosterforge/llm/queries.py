@@ -107,7 +107,12 @@ def _p4(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _p4(spark, sf_dir)
+    return _p4(spark, sf_dir).drop("tier")
+
+
+def p4_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed values by field and by how their entry was found."""
+    return _p4(spark, sf_dir).groupBy("field", "tier").agg(F.count("*").alias("n_cells"))
 
 
 def p4_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +240,7 @@ def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_consistent": p5_consistent, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored,
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_misses": p4_misses, "p4_tiers": p4_tiers, "p5_found": p5_found, "p5_consistent": p5_consistent, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored,
         "p8_ids": p8_ids, "p9_assigned": p9_assigned, "p9_fill": p9_fill, "p10_found": p10_found, "p10_profile": p10_profile,
     }
 

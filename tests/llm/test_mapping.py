@@ -60,3 +60,31 @@ def test_long_entries_are_found_with_a_typo():
     entries = m.college_entries([(1, "甲大学", "经济与金融学院", name)], {})
     long = max((s for e in entries for s in map(m.clean, e.spellings)), key=len)
     assert len(long) > 60 and m.Dictionary(entries).close("甲大学", long[:20] + long[21:]) is not None
+
+
+def test_long_entries_and_prefixes_against_brute_force():
+    import random
+
+    random.seed(4)
+    entries = [m.Entry(i + 1, "", ("".join(random.choice("abcdefgh ") for _ in range(random.randint(6, 90))).strip(),)) for i in range(60)]
+    d = m.Dictionary(entries)
+    for _ in range(300):
+        s = m.clean(random.choice(entries).spellings[0])
+        v = list(s)
+        for _ in range(random.randint(1, 2)):
+            i = random.randrange(len(v))
+            random.choice((lambda: v.pop(i), lambda: v.insert(i, "z"), lambda: v.__setitem__(i, "y")))()
+        typed = "".join(v)
+        best = min(
+            ((w, -e.uses, e.ref_id, len(c)) for e in entries for c in [m.clean(e.spellings[0])] if (w := m.distance(typed, c, m.allowed(len(c)) + 0.25)) <= m.allowed(len(c)) + 0.25),
+            default=None,
+        )
+        assert d.close("", typed) == best, typed
+    name = "college of " + "very long and winding names of fields " * 2
+    assert m.Dictionary([m.Entry(7, "", (name,))]).best("", name.replace("winding", "wnding"))[3] == 7
+
+
+def test_contained_spellings_against_brute_force():
+    d = m.Dictionary([m.Entry(1, "", ("数学学院",)), m.Entry(2, "", ("应用数学学院",)), m.Entry(3, "", ("art",))])
+    assert d.contained("", "某校应用数学学院办公室") == (-6, 0, 2) and d.contained("", "state art") == (-3, 0, 3)
+    assert d.contained("", "artist") is None and d.contained("", "x") is None
