@@ -31,10 +31,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Letters that look alike, Latin against Cyrillic and Latin against Greek.
+# Letters that look alike in two scripts.
 LATIN_CYRILLIC = (
     "aа bЬ cс dԁ eе gɡ hһ iі jј kк lӏ oо pр qԛ sѕ vѵ wԝ xх yу ëё ïї AА BВ CС EЕ HН IІ JЈ KК MМ NԊ OО PР SЅ TТ VѴ XХ YҮ YУ ZꙀ ËЁ ÏЇ"
 )
+LATIN_ARMENIAN = "oօ nո uս hհ gց qզ OՕ SՏ UՍ LԼ"
+LATIN_CHEROKEE = "AᎪ BᏴ CᏟ DᎠ EᎬ GᏀ HᎻ JᎫ KᏦ LᏞ MᎷ PᏢ RᎡ SᏚ TᎢ VᏙ WᎳ YᎩ ZᏃ"
+HAN_KATAKANA = "口ロ 二ニ 卜ト 力カ 工エ 夕タ 千チ 八ハ 匕ヒ 厶ム"
 LATIN_GREEK = "aα iι kκ oο pρ uυ vν xχ yγ AΑ BΒ EΕ HΗ IΙ KΚ MΜ NΝ OΟ PΡ TΤ XΧ YΥ ZΖ"
 # Radicals without a compatible ideograph, with the ideographs they stand for.
 RADICALS = "⺎兀⺠民⺮竹⺼肉⻁虎⻂衣⻄西⻅见⻆角⻇角⻈讠⻉贝⻋车⻎辶⻓长⻔门⻘青⻙韦⻚页⻛风⻜飞⻝食⻢马⻣骨⻤鬼⻥鱼⻦鸟⻧卤⻨麦⻩黄⻪黾⻬齐⻭齿⻮齿⻰龙⻲龟"
@@ -47,15 +50,21 @@ _RADICAL = dict(zip(RADICALS[::2], RADICALS[1::2]))
 
 def _twins() -> dict[str, dict[str, str]]:
     """script -> letter -> its look-alike in that script."""
-    out: dict[str, dict[str, str]] = {"LATIN": {}, "CYRILLIC": {}, "GREEK": {}}
-    for table, other in ((LATIN_CYRILLIC, "CYRILLIC"), (LATIN_GREEK, "GREEK")):
-        for latin, foreign in table.split():
-            out["LATIN"].setdefault(foreign, latin)
-            out[other].setdefault(latin, foreign)
+    pairs = (
+        (LATIN_CYRILLIC, "LATIN", "CYRILLIC"), (LATIN_GREEK, "LATIN", "GREEK"), (LATIN_ARMENIAN, "LATIN", "ARMENIAN"),
+        (LATIN_CHEROKEE, "LATIN", "CHEROKEE"), (HAN_KATAKANA, "HAN", "KATAKANA"),
+    )
+    out: dict[str, dict[str, str]] = {s: {} for _, *scripts in pairs for s in scripts}
+    for table, first, second in pairs:
+        for a, b in table.split():
+            out[first].setdefault(b, a)
+            out[second].setdefault(a, b)
     return out
 
 
 TWINS = _twins()
+#: Scripts that one word may well have together, as Japanese names do; such a word is respelled only if one script can spell all of it.
+MIXED_RIGHTLY = frozenset({"HAN", "KATAKANA"})
 
 
 @lru_cache(maxsize=100_000)
@@ -65,9 +74,7 @@ def script_of(c: str) -> str:
         return ""
     name = unicodedata.name(c, "")
     first = name.split(" ")[0]
-    if first in ("LATIN", "CYRILLIC", "GREEK", "HANGUL", "HIRAGANA", "KATAKANA", "ARABIC", "HEBREW", "THAI"):
-        return first
-    return "HAN" if name.startswith("CJK") else first
+    return "HAN" if first == "CJK" else first
 
 
 def scripts_for(c: str) -> frozenset[str]:
@@ -76,6 +83,9 @@ def scripts_for(c: str) -> frozenset[str]:
     return frozenset({own} | {s for s, letters in TWINS.items() if c in letters})
 
 
+EUROPEAN = TWINS.keys() - MIXED_RIGHTLY
+
+
 def _spell(word: str, script: str) -> str:
     return "".join(c if script_of(c) in ("", script) else TWINS[script].get(c, c) for c in word)
 
@@ -86,7 +96,7 @@ def resolve(text: str, address: bool = False) -> str:
     used = [Counter(s for c in w if (s := script_of(c)) in TWINS) for w in words]
     surely = Counter(script_of(c) for c in text if script_of(c) in TWINS and len(scripts_for(c)) == 1)
     total = sum(used, Counter())
-    if len(total) == 0 or len(total) == 1 and not (address and "LATIN" not in total):
+    if len(total) == 0 or len(total) == 1 and not (address and "LATIN" not in total and total.keys() <= EUROPEAN):
         return text
     if address:
         leading = "LATIN"
@@ -102,7 +112,7 @@ def resolve(text: str, address: bool = False) -> str:
                     w = _spell(w, leading)
                 elif spellable and len(scripts) > 1:
                     w = _spell(w, max(spellable, key=lambda s: (scripts[s], s)))
-                elif len(scripts) > 1:
+                elif len(scripts) > 1 and not scripts.keys() <= MIXED_RIGHTLY:
                     w = _spell(w, max(scripts, key=lambda s: (scripts[s], s)))
         out.append(w)
     return "".join(out)
@@ -134,9 +144,13 @@ def consistent(text: str) -> str:
     return resolve(plain, address="@" in plain)
 
 
+#: Katakana that look like ideographs.
+_KATAKANA = "".join(TWINS["KATAKANA"].values())
+
+
 def unusual(c: Column) -> Column:
     """Whether a cell may hold anything but its consistent form; cheap, and true for all that do."""
-    return c.rlike(r"[^\x00-\x7f一-鿿·가-힣ぁ-ゖァ-ヺーÀ-ÖØ-öø-ıĴ-ľŁ-ňŊ-ž]")
+    return c.rlike(r"[^\x00-\x7f一-鿿·가-힣ぁ-ゖァ-ヺーÀ-ÖØ-öø-ıĴ-ľŁ-ňŊ-ž]") | c.rlike(f"[一-鿿].*[{_KATAKANA}]|[{_KATAKANA}].*[一-鿿]")
 
 
 def cells(

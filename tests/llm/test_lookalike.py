@@ -29,3 +29,18 @@ def test_compatible_latin_letters_are_unusual(spark):
     df = spark.createDataFrame([(i, n, None) for i, n in enumerate(names)], "row_id long, name string, email string")
     got = {r["id"] for r in k.cells(df, "row_id", ("name",)).collect()}
     assert got == {i for i, n in enumerate(names) if k.consistent(n) != n} and set(range(6)) <= got
+
+
+def test_further_scripts():
+    for text, form in {"Օlga": "Olga", "ᎪNNA": "ANNA", "王口ニ": "王口二", "力カ": "力力", "トヨ卜": "トヨト"}.items():
+        assert k.consistent(text) == form, text
+    for text in ("田中マリ", "江ノ島", "トヨタ", "岡本タロウ", "Անի Հակոբյան", "买买·艾力"):
+        assert k.consistent(text) == text
+
+
+def test_no_sign_that_changes_is_overlooked(spark):
+    """Over all of Unicode, alone, in a Latin and in a Chinese name."""
+    signs = [chr(n) for n in range(0x110000) if not 0xD800 <= n < 0xE000]
+    texts = [t for c in signs for t in (f"A{c}n", f"王{c}") if k.consistent(t) != t]
+    df = spark.createDataFrame([(t,) for t in texts], "name string")
+    assert len(texts) > 10_000 and df.where(~k.unusual(df["name"])).collect() == []
