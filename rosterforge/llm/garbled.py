@@ -5,9 +5,9 @@ were written in) the characters are mapped back to bytes, and an automaton over
 the byte structure of the written encoding finds the maximal well-formed
 multibyte spans. Only those spans are decoded; the rest of the text stays as it
 is. A span counts when what it decodes to is likelier than what stands there,
-by a character model counted over the distinct texts of the whole column, so
-that no repeated garbled text makes itself likely. Texts garbled twice are
-restored in turns. A replacement character is garbled text that can't be
+by a character model counted over the distinct texts of the whole column, each
+weighted by its share of usual signs, so that neither repeated nor many garbled
+texts make themselves likely. Texts garbled twice are restored in turns. A replacement character is garbled text that can't be
 restored.
 
 The model has at most one count per code point, however large the corpus, and
@@ -94,12 +94,12 @@ def _legacy(c: str, codec: str) -> bytes | None:
 
 
 class CharModel:
-    """Log-likelihoods of characters from their counts in one column of the given mean length."""
+    """Log-likelihoods of characters from their counts in one column of the given mean length; ``unit`` is what one usual text counts."""
 
-    def __init__(self, counts: dict[str, int], length: float = 10.0) -> None:
+    def __init__(self, counts: dict[str, int], length: float = 10.0, unit: float = 1.0) -> None:
         total = sum(counts.values()) or 1
         self.log = {c: math.log(n / total) for c, n in counts.items()}
-        self.rare = math.log(0.2 / total)
+        self.rare = math.log(0.2 * unit / total)
         least = COMMON * total / max(1.0, length / 10)
         self.common = frozenset(c for c, n in counts.items() if n >= least and not 0x7F <= ord(c) < 0xA0)
 
@@ -262,21 +262,46 @@ def repair(s: str, model: CharModel) -> tuple[bool, str]:
     return found or "\ufffd" in s, text
 
 
+@lru_cache(maxsize=1)
+def _usual() -> dict[int, None]:
+    """ASCII, the marks of Chinese writing and the characters of the national standard's two levels, as a table that deletes them."""
+    rows = [*range(0xA1, 0xA4), *range(0xB0, 0xF8)]
+    standard = bytes(b for row in rows for cell in range(0xA1, 0xFF) for b in (row, cell)).decode("gb2312", "ignore")
+    return dict.fromkeys([*range(0x80), *map(ord, standard), *map(ord, "·—…“”‘’é")])
+
+
+#: Parts in which a text's share of usual signs is told, and the power of that share which weighs it.
+PARTS, POWER = 10, 4
+
+
+def weight_class(text: str) -> int:
+    """0 for a text without usual signs to PARTS for one of usual signs only."""
+    return round(PARTS * (1 - len(text.translate(_usual())) / max(1, len(text))))
+
+
 def model_of(counts: dict[str, int]) -> CharModel:
     """The model of ``char_counts``'s counts, where the empty sign counts the texts."""
     signs = {c: n for c, n in counts.items() if c}
-    return CharModel(signs, sum(signs.values()) / max(1, counts.get("", 1)))
+    return CharModel(signs, sum(signs.values()) / max(1, counts.get("", 1)), PARTS**POWER)
 
 
 def char_counts(df: DataFrame, *columns: str) -> dict[str, dict[str, int]]:
-    """Counts of every character per column, each distinct text counted once; at most one per code point reaches the driver."""
+    """Counts of every character per column, each distinct text counted once by its weight; at most one per code point reaches the driver."""
 
     def count(field: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
         def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            totals = Counter()
+            classes: list[Counter[str]] = [Counter() for _ in range(PARTS + 1)]
             for batch in batches:
-                totals.update("".join(batch["text"]))
-                totals[""] += len(batch)
+                texts: list[list[str]] = [[] for _ in classes]
+                for text in batch["text"]:
+                    texts[weight_class(text)].append(text)
+                for held, some in zip(classes, texts):
+                    held.update("".join(some))
+                    held[""] += len(some)
+            totals: Counter[str] = Counter()
+            for i, held in enumerate(classes):
+                for c, n in held.items():
+                    totals[c] += n * max(1, i**POWER)
             rows = [(field, c, n) for c, n in totals.items() if c != "\x00"]
             yield pd.DataFrame(rows, columns=["field", "sign", "n"])
 

@@ -70,3 +70,20 @@ def test_hot_garbled_value_is_found(spark):
 def test_letter_of_a_word_is_left(model):
     counts = Counter({"清": 4000, **{c: 60 for c in "Щукар Тимур"}, "ь": 1})
     assert not g.repair("Тимур Щукарь", g.CharModel(counts))[0]
+
+
+@pytest.mark.parametrize("share", (0.1, 0.3, 0.5))
+def test_many_garbled_texts_do_not_make_themselves_likely(share):
+    random.seed(5)
+    parts = ["长期关注", "海流模拟", "评价方法", "主持省部级课题", "参与横向项目", "教学奖励", "研究生培养", "农业大学", "访问一年", "开设课程", "土壤肥力", "期刊审稿", "水稻育种", "获得校级", "数据资源库"]
+    clean = sorted({"，".join(random.sample(parts, 5)) + "。" for _ in range(600)})
+    for read, written in (("gb18030", "utf-8"), ("gb18030", "big5"), ("cp1252", "gb18030")):
+        spoiled = [s for s in (t.encode(written, "ignore").decode(read, "ignore") for t in clean[: int(600 * share)]) if len(s) > 5]
+        counts: Counter[str] = Counter()
+        for text in spoiled + clean[int(600 * share) :]:
+            for c in [*text, ""]:
+                counts[c] += max(1, g.weight_class(text) ** g.POWER)
+        m = g.model_of(counts)
+        found = sum(g.repair(s, m)[0] for s in spoiled)
+        assert found >= 0.9 * len(spoiled), (read, written, found, len(spoiled))
+        assert not any(g.repair(t, m)[0] for t in clean[-60:])
