@@ -35,12 +35,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; a folder of our own is
-    set only where none is configured, as in local tests.
+    set only where none is configured and the session is local, as in tests. A
+    cluster is refused, as its machines would not see each other's blocks.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="rosterforge-ckpt-"))
     return df.checkpoint(eager=True)
 

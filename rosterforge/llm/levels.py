@@ -28,6 +28,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,21 +175,32 @@ def features(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
         return settled
     settled = checkpointed(settled)
     open_docs = settled.where(F.col(FEATURES[0]).isNull())
-    exact = exact_coverage(docs.join(open_docs.select("id"), "id", "left_semi"), counts, rank)
+    exact = exact_coverage(docs.join(open_docs.select("id"), "id", "left_semi"), counts, rank, table)
     rest = open_docs.drop(*FEATURES[: len(SHARES)]).join(exact, "id").select("id", "ideographic", *FEATURES)
     return settled.where(F.col(FEATURES[0]).isNotNull()).unionByName(rest)
 
 
-def exact_coverage(docs: DataFrame, counts: DataFrame, rank: dict[int, int]) -> DataFrame:
-    """``id`` and coverage ranks by a join of each document's words with all counts."""
+def exact_coverage(docs: DataFrame, counts: DataFrame, rank: dict[int, int], shipped: Broadcast) -> DataFrame:
+    """``id`` and coverage ranks from each document's words: shipped ones by the vocabulary, the rest by a join with all counts.
+
+    A word that is joined is rarer than every shipped one, so it makes up less
+    than one in ``VOCABULARY`` of all words and is no hot key.
+    """
     spark = docs.sparkSession
     names = FEATURES[: len(SHARES)]
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shipped.value
         for batch in batches:
             for i, text in zip(batch["id"], batch["text"]):
-                tf = Counter(words(text))
-                yield pd.DataFrame({"id": i, "word": list(tf), "tf": list(tf.values())})
+                by_rank: Counter[int] = Counter()
+                rest = []
+                for w, n in Counter(words(text)).items():
+                    if w in known:
+                        by_rank[known[w]] += n
+                    else:
+                        rest.append((i, w, None, n))
+                yield pd.DataFrame([*((i, None, r, n) for r, n in by_rank.items()), *rest], columns=["id", "word", "rank", "tf"]).astype({"rank": "Int64"})
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -199,8 +211,10 @@ def exact_coverage(docs: DataFrame, counts: DataFrame, rank: dict[int, int]) ->
             yield pd.DataFrame(out, columns=["id", *names])
 
     ranks = spark.createDataFrame(list(rank.items()), "n long, rank long")
-    per_word = docs.select("id", "text").mapInPandas(split, "id long, word string, tf long").join(counts, "word")
-    grouped = per_word.join(F.broadcast(ranks), "n").groupBy("id").agg(F.collect_list(F.struct("rank", "tf")).alias("pairs"))
+    each = checkpointed(docs.select("id", "text").mapInPandas(split, "id long, word string, rank long, tf long"))
+    joined = each.where("word IS NOT NULL").drop("rank").join(counts, "word").join(F.broadcast(ranks), "n").select("id", "rank", "tf")
+    ranked = each.where("word IS NULL").select("id", "rank", "tf").unionByName(joined)
+    grouped = ranked.groupBy("id").agg(F.collect_list(F.struct("rank", "tf")).alias("pairs"))
     return grouped.mapInPandas(cover, "id long, " + ", ".join(f"{n} double" for n in names))
 
 
