@@ -6,7 +6,7 @@ the byte structure of the written encoding finds the maximal well-formed
 multibyte spans. Only those spans are decoded; the rest of the text stays as it
 is. A span counts when what it decodes to is likelier than what stands there,
 by a character model counted over the distinct texts of the whole column, each
-weighted by its share of usual signs, so that neither repeated nor many garbled
+weighted by its share of signs that aren't odd, so that neither repeated nor many garbled
 texts make themselves likely. Texts garbled twice are restored in turns. A replacement character is garbled text that can't be
 restored.
 
@@ -94,7 +94,7 @@ def _legacy(c: str, codec: str) -> bytes | None:
 
 
 class CharModel:
-    """Log-likelihoods of characters from their counts in one column of the given mean length; ``unit`` is what one usual text counts."""
+    """Log-likelihoods of characters from their counts in one column of the given mean length; ``unit`` is what one text without odd signs counts."""
 
     def __init__(self, counts: dict[str, int], length: float = 10.0, unit: float = 1.0) -> None:
         total = sum(counts.values()) or 1
@@ -263,20 +263,25 @@ def repair(s: str, model: CharModel) -> tuple[bool, str]:
 
 
 @lru_cache(maxsize=1)
-def _usual() -> dict[int, None]:
-    """ASCII, the marks of Chinese writing and the characters of the national standard's two levels, as a table that deletes them."""
-    rows = [*range(0xA1, 0xA4), *range(0xB0, 0xF8)]
-    standard = bytes(b for row in rows for cell in range(0xA1, 0xFF) for b in (row, cell)).decode("gb2312", "ignore")
-    return dict.fromkeys([*range(0x80), *map(ord, standard), *map(ord, "·—…“”‘’é")])
+def _odd() -> dict[int, None]:
+    """What misread text is full of and other text hardly holds, as a table that deletes it: ideographs outside the national
+    standard's two levels, half-width kana, private signs, code-page symbols and line-drawing signs."""
+    standard = bytes(b for row in range(0xB0, 0xF8) for cell in range(0xA1, 0xFF) for b in (row, cell)).decode("gb2312", "ignore")
+    ideographs = set(range(0x3400, 0xA000)) - set(map(ord, standard))
+    return dict.fromkeys([*sorted(ideographs), *range(0x80, 0xB7), *range(0xB8, 0xC0), *range(0x2500, 0x25A0), *range(0xE000, 0xF900), *range(0xFF61, 0xFFA0)])
 
 
-#: Parts in which a text's share of usual signs is told, and the power of that share which weighs it.
+#: Parts in which a text's share of signs that aren't odd is told, and the power of that share which weighs it.
 PARTS, POWER = 10, 4
+_HANGUL, _IDEOGRAPH = re.compile("[\uac00-\ud7a3]+"), re.compile("[\u4e00-\u9fff]")
 
 
 def weight_class(text: str) -> int:
-    """0 for a text without usual signs to PARTS for one of usual signs only."""
-    return round(PARTS * (1 - len(text.translate(_usual())) / max(1, len(text))))
+    """0 for a text of odd signs only to PARTS for one without any; Korean letters among ideographs are odd too."""
+    rest = text.translate(_odd())
+    if _HANGUL.search(rest) and _IDEOGRAPH.search(text):
+        rest = _HANGUL.sub("", rest)
+    return round(PARTS * len(rest) / max(1, len(text)))
 
 
 def model_of(counts: dict[str, int]) -> CharModel:

@@ -233,8 +233,8 @@ def calibrated(feats: DataFrame, labels: DataFrame) -> DataFrame:
     any_language = labelled.groupBy("level").agg(*stats)
     enough = labelled.groupBy("ideographic").agg(F.count("*").alias("labels")).where(F.col("labels") >= LEAST_LABELS)
     own = own.join(F.broadcast(enough), "ideographic").drop("labels")
-    both = feats.sparkSession.createDataFrame([(True,), (False,)], "ideographic boolean")
-    borrowed = both.join(F.broadcast(enough), "ideographic", "left_anti").join(F.broadcast(any_language))
+    either = any_language.withColumn("ideographic", F.explode(F.array(F.lit(True), F.lit(False))))
+    borrowed = either.join(F.broadcast(enough), "ideographic", "left_anti")
     packed = F.struct("level", "n", *[c for f in FEATURES for c in (f"m_{f}", f"v_{f}")])
     return own.unionByName(borrowed.select(*own.columns)).groupBy("ideographic").agg(
         F.array_sort(F.collect_list(packed)).alias("levels")

@@ -92,7 +92,10 @@ def _p4(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     exact = titles.select(F.lit("title").alias("field"), F.col("title_zh").alias("value")).unionByName(
         colleges.select(F.lit("college").alias("field"), F.col("college_zh").alias("value"))
     ).distinct()
-    spelled = typed.join(F.broadcast(exact), ["field", "value"], "left_semi").groupBy("field", "scope", "value").count().collect()
+    in_scope = titles.select(F.lit("title").alias("field"), F.lit("").alias("scope"), F.col("title_zh").alias("value")).unionByName(
+        colleges.select(F.lit("college").alias("field"), F.col("school").alias("scope"), F.col("college_zh").alias("value"))
+    ).distinct()
+    spelled = typed.join(F.broadcast(in_scope), ["field", "scope", "value"], "left_semi").groupBy("field", "scope", "value").count().collect()
     uses = {(r["field"], r["scope"], r["value"]): r["count"] for r in spelled}
     found = typed.join(F.broadcast(exact), ["field", "value"], "left_anti")
     keep_columns = ["row_id", "field", *keep]
@@ -189,6 +192,12 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_column(docs, "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
+def p8_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that the ids of every document stand for; as many as its text has."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return tokens.byte_lengths(tokens.encode_column(docs, "doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
 def p9_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of every document, or of every piece of a split one, for each capacity."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -216,6 +225,32 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p9_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per capacity the documents placed, containers over capacity, and documents split although they fit."""
+    capacities = table(spark, sf_dir, "container_sizes", "size_id", "capacity_tokens")
+    placed = p9_assigned(spark, sf_dir).join(F.broadcast(capacities), "size_id")
+    documents = placed.groupBy("size_id", "capacity_tokens", "doc_id").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("n"))
+    by_size = documents.groupBy("size_id").agg(
+        F.count("*").alias("n_documents"), F.count_if((F.col("pieces") > 1) & (F.col("n") <= F.col("capacity_tokens"))).alias("n_split")
+    )
+    containers = placed.groupBy("size_id", "capacity_tokens", "container_id").agg(F.sum("n_tokens").alias("n"))
+    over = containers.groupBy("size_id").agg(F.count_if(F.col("n") > F.col("capacity_tokens")).alias("n_over"))
+    return by_size.join(over, "size_id").select("size_id", "n_documents", "n_split", "n_over")
+
+
+def p3_intros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources with their intros, as the rates of cut ones count them."""
+    return p3_rates(spark, sf_dir).select("source", "n_intros")
+
+
+def p5_ordinary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and addresses of plain ASCII signs, which the consistent form leaves as they are."""
+    forms = p5_consistent(spark, sf_dir)
+    return forms.where(~F.col("name").rlike(r"[^\x00-\x7f]") & ~F.col("email").rlike(r"[^\x00-\x7f]")).join(
+        table(spark, sf_dir, "template_rows", "row_id", F.col("name").alias("n"), F.col("email").alias("e")), "row_id"
+    ).where(~F.col("n").rlike(r"[^\x00-\x7f]") & ~F.col("e").rlike(r"[^\x00-\x7f]")).select("row_id", "name", "email")
+
+
 def _p10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "level_labels", "doc_id", "level")
@@ -240,8 +275,8 @@ def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_rates": p3_rates, "p4_found": p4_found, "p4_misses": p4_misses, "p4_tiers": p4_tiers, "p5_found": p5_found, "p5_consistent": p5_consistent, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored,
-        "p8_ids": p8_ids, "p9_assigned": p9_assigned, "p9_fill": p9_fill, "p10_found": p10_found, "p10_profile": p10_profile,
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_rates": p3_rates, "p3_intros": p3_intros, "p4_found": p4_found, "p4_misses": p4_misses, "p4_tiers": p4_tiers, "p5_found": p5_found, "p5_consistent": p5_consistent, "p5_ordinary": p5_ordinary, "p6_found": p6_found, "p6_kinds": p6_kinds, "p7_found": p7_found, "p7_restored": p7_restored,
+        "p8_ids": p8_ids, "p8_bytes": p8_bytes, "p9_assigned": p9_assigned, "p9_checked": p9_checked, "p9_fill": p9_fill, "p10_found": p10_found, "p10_profile": p10_profile,
     }
 
 
@@ -258,5 +293,9 @@ def oracle_sql() -> dict[str, str]:
     keys = f"WITH t AS ({_p1_keys()})"
     return {
         "p1_found": f"{keys} SELECT a.row_id AS row_id_a, b.row_id AS row_id_b FROM t a JOIN t b ON a.k = b.k AND a.row_id < b.row_id",
+        "p3_intros": f"SELECT coalesce(source, '') AS source, count(*) AS n_intros FROM template_rows WHERE regexp_matches(intro, '[^{SPACE}]') GROUP BY 1",
+        "p5_ordinary": "SELECT row_id, name, email FROM template_rows WHERE NOT regexp_matches(name, '[^\\x00-\\x7f]') AND NOT regexp_matches(email, '[^\\x00-\\x7f]')",
+        "p8_bytes": "SELECT doc_id, coalesce(cast(octet_length(encode(text)) AS BIGINT), 0) AS n_bytes FROM documents",
+        "p9_checked": "SELECT size_id, (SELECT count(*) FROM documents) AS n_documents, cast(0 AS BIGINT) AS n_split, cast(0 AS BIGINT) AS n_over FROM container_sizes",
         "p1_groups": f"{keys} SELECT min(row_id) AS representative, count(*) AS copies FROM t GROUP BY k",
     }

@@ -191,3 +191,17 @@ def count_column(
             yield pd.DataFrame({"id": batch[id_col], "n_tokens": [len(encoder.encode(t)) for t in batch[text_col]]})
 
     return df.select(id_col, text_col).mapInPandas(count, f"id {dict(df.dtypes)[id_col]}, n_tokens long")
+
+
+def byte_lengths(
+    encoded: DataFrame, name: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR
+) -> DataFrame:
+    """``id, n_bytes`` of what the ids of every row stand for; a check that no byte was lost."""
+    ranks = _shipped(encoded, name, folder)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        size = {i: len(t) for t, i in ranks.value.items()}
+        for batch in batches:
+            yield pd.DataFrame({"id": batch["id"], "n_bytes": [sum(size[i] for i in ids) for ids in batch["ids"]]})
+
+    return encoded.select("id", "ids").mapInPandas(measure, f"id {dict(encoded.dtypes)['id']}, n_bytes long")
