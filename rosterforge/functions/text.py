@@ -135,6 +135,11 @@ def section_intro(page: Column | str) -> Column:
     return F.coalesce(F.get(usable, F.lit(0)), F.lit(""))
 
 
+def content_block(page: Column | str) -> Column:
+    """The marked block of a page's content, with its tags; ''."""
+    return F.regexp_extract(text_of(page), markup.CONTENT_BLOCK, 0)
+
+
 def meta_description(page: Column | str) -> Column:
     return norm_ws(F.regexp_extract(text_of(page), markup.META_DESCRIPTION, 1))
 

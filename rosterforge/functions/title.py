@@ -168,10 +168,10 @@ def context_of(text: Column | str, name: Column | str, before: int = 20, after:
 
 def needs_ocr(page: Column | str, text: Column | str, images: Column) -> Column:
     """Whether a page's facts are likely in its images only."""
-    from .text import html_to_text
+    from .text import content_block, html_to_text
 
     p, body = text_of(page), norm_ws(text)
-    block = F.regexp_extract(p, markup.CONTENT_BLOCK, 0)
+    block = content_block(p)
     bare = block.contains(rules.CONTENT_IMAGE) & (F.length(norm_ws(html_to_text(block))) < 40)
     strong = contains_any(body, rules.STRONG_TOKENS)
     return (F.size(images) > 0) & (bare | (~strong & (p.contains(rules.CONTENT_IMAGE) | (F.length(body) < 200))))

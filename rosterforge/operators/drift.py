@@ -45,6 +45,8 @@ FIELD_LEAST, SAME_LEAST = 1.8, 4.0
 BY_SKETCH, BY_SHAPE, BY_NAME, BY_TYPE = 4.0, 4.5, 1.5, 0.5
 #: Values that a field's shape must fit, and distinct values that a varied field must have, as shares.
 FITTING, VARIED = 0.6, 0.75
+#: Values from which a column counts as varied.
+ENOUGH = 6
 #: Taken off where only one of two columns is called after a field.
 HALF_KNOWN = 0.5
 
@@ -139,7 +141,7 @@ def _spellings(fields: tuple[FieldSpec, ...]) -> dict[str, int]:
 def _is_varied(column: dict) -> bool:
     """Whether values seldom repeat, by linear counting in the bitmap."""
     n, spread = min(column["n"] or 0, 60), min(column["spread"] or 0, 63)
-    return n > 0 and -64 * math.log(1 - spread / 64) >= VARIED * n
+    return n >= ENOUGH and -64 * math.log(1 - spread / 64) >= VARIED * n
 
 
 def _field_of(columns: list[dict], fields: tuple[FieldSpec, ...]) -> dict[str, int]:

@@ -14,6 +14,7 @@ from ..functions import org, rules, title
 from ..functions.names import looks_like_name
 from ..functions.text import norm_ws
 from ..functions.url import looks_like_url
+from .common import looked_up
 
 #: Rows from which columns are inferred when headers don't tell.
 SAMPLE = 10
@@ -89,10 +90,10 @@ def expand(rows: DataFrame, maps: DataFrame, defaults: DataFrame | None = None)
     most of the row shows; any other row is one record. ``defaults`` holds
     ``source, school, college, fallback_title``.
     """
-    df = rows.join(F.broadcast(maps), "source")
+    df = looked_up(rows, maps, ["source"]).where("columns IS NOT NULL")
     if defaults is not None:
         named = [F.col(c).alias(f"_{c}") for c in ("school", "college", "fallback_title")]
-        df = df.join(F.broadcast(defaults.select("source", *named)), "source", "left")
+        df = looked_up(df, defaults.select("source", *named), ["source"])
     default = {c: norm_ws(f"_{c}") if defaults is not None else F.lit("") for c in ("school", "college", "fallback_title")}
     cells = F.transform("cells", norm_ws)
     at = lambda f: cell(F.col("cells"), F.col("columns")[f])

@@ -323,3 +323,67 @@ def best_email(candidates: str, name: str, least: int = 1) -> str:
 def resolve_root(x: str) -> str:
     """``scheme://host`` of a URL that has both."""
     return f"lower({url_part(x, 1)}) || '://' || {url_part(x, 2)}"
+
+
+# --- seeds and upserts -------------------------------------------------------------------------------------------
+
+#: Usable records of seed files with their values under the header keys of the file: ``file_id, ord, keys, vals``.
+SEED_CELLS = f"""
+v AS MATERIALIZED (SELECT file_id, line_id, record, json_keys(record) AS ks FROM seed_lines WHERE json_valid(record) AND json_type(record) = 'OBJECT' AND len(json_keys(record)) > 0),
+h AS (SELECT file_id, arg_min(ks, line_id) AS keys FROM v GROUP BY file_id),
+c AS MATERIALIZED (SELECT v.file_id, row_number() OVER (PARTITION BY v.file_id ORDER BY line_id) - 1 AS ord, h.keys,
+  list_transform(h.keys || list_filter(v.ks, lambda k: NOT list_contains(h.keys, k)), lambda k: {norm_ws("json_extract_string(v.record, '$." + chr(34) + "' || k || '" + chr(34) + "')")}) AS vals FROM v JOIN h ON h.file_id = v.file_id)"""
+KNOWN_HEADERS = "a(header, field) AS (VALUES " + ", ".join(
+    f"({lit(a.lower())}, {lit(f)})" for f, aliases in rules.HEADER_ALIASES.items() for a in aliases if a.lower() not in rules.PLACEHOLDER_HEADERS
+) + ")"
+
+
+def seed_columns() -> str:
+    """CTEs down to ``cols``: the position of every field in every file, by header, by the looks of ten rows, by place."""
+    of = {f: f"coalesce(min(n.pos) FILTER (n.field = {lit(f)}), -1)" for f in rules.HEADER_ALIASES}
+    of["name"] = "coalesce(min(n.pos) FILTER (n.field = 'name'), any_value(i.name_at), CASE WHEN len(any_value(h.keys)) >= 1 THEN 0 END, -1)"
+    of["profile_url"] = "coalesce(min(n.pos) FILTER (n.field = 'profile_url'), any_value(i.url_at), CASE WHEN len(any_value(h.keys)) >= 2 THEN 1 END, -1)"
+    listed = ", ".join(f"cast({e} AS INT) AS {f}" for f, e in of.items())
+    return f"""{SEED_CELLS}, {KNOWN_HEADERS},
+k AS (SELECT file_id, unnest(keys) AS key, unnest(range(len(keys))) AS pos FROM h),
+n AS (SELECT k.file_id, a.field, k.pos FROM k JOIN a ON {norm_ws('lower(k.key)')} = a.header),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY ord) AS nth FROM c WHERE len(list_filter(vals, lambda x: x <> '')) > 0) WHERE nth <= 10),
+e AS (SELECT file_id, unnest(vals) AS x, unnest(range(len(vals))) AS pos FROM f),
+s AS (SELECT file_id, pos, count(*) FILTER ({looks_like_name('x')}) AS names, count(*) FILTER ({looks_like_url('x')}) AS urls FROM e GROUP BY ALL),
+i AS (SELECT file_id, arg_min(pos, (-names, pos)) FILTER (names > 0) AS name_at, arg_min(pos, (-urls, pos)) FILTER (urls > 0) AS url_at FROM s GROUP BY file_id),
+cols AS (SELECT h.file_id, {listed} FROM h LEFT JOIN n ON n.file_id = h.file_id LEFT JOIN i ON i.file_id = h.file_id GROUP BY h.file_id)"""
+
+
+def seed_records() -> str:
+    """A record for every seed row, or for every address of a row with several."""
+    at = lambda f: f"CASE WHEN cols.{f} >= 0 THEN coalesce(c.vals[cols.{f} + 1], '') ELSE '' END"
+    urls = f"list_filter(c.vals, lambda x, i: {looks_like_url('x')} AND list_position(c.vals, x) = i)"
+    fields = {f: "''" for f in rules.HEADER_ALIASES}
+    by_url = ", ".join(f"{x if f == 'profile_url' else v} AS {f}" for (f, v), x in zip(fields.items(), ["u"] * len(fields)))
+    single = ", ".join((f"coalesce({filled(at('title'))}, {of_name(at('name'))})" if f == "title" else at(f)) + f" AS {f}" for f in fields)
+    return f"""WITH {seed_columns()}, r AS MATERIALIZED (SELECT c.*, {urls} AS urls FROM c)
+SELECT c.file_id, c.ord, cast(0 AS INT) AS part, c.ord + 2 AS row_number, {single} FROM r c JOIN cols ON cols.file_id = c.file_id WHERE len(c.urls) < 2
+UNION ALL SELECT file_id, ord, part, ord + 2, {by_url} FROM (SELECT file_id, ord, cast(unnest(range(len(urls))) AS INT) AS part, unnest(urls) AS u FROM r WHERE len(urls) >= 2)"""
+
+
+def upserted(existing: str, new: str) -> str:
+    """Two relations of ``ord`` and the template's columns, merged into the best row of every identity."""
+    cols = rules.REQUIRED
+
+    def sanitised(source: str, n: int) -> str:
+        norm = ", ".join(f"{norm_ws(c)} AS {c}" for c in cols)
+        kept = ", ".join("t.cname AS name" if c == "name" else f"CASE WHEN x.email IS NULL THEN t.email ELSE '' END AS email" if c == "email" else f"t.{c}" for c in cols)
+        valid = " AND ".join(f"{c} <> ''" for c in cols)
+        return f"""n{n} AS MATERIALIZED (SELECT ord, {norm}, {clean_name('name')} AS cname FROM {source}),
+x{n} AS (SELECT school, college, lower(email) AS email FROM n{n} WHERE school <> '' AND college <> '' AND email <> '' AND cname <> '' GROUP BY ALL HAVING count(DISTINCT cname) >= 2),
+s{n} AS MATERIALIZED (SELECT * FROM (SELECT t.ord, {kept} FROM n{n} t LEFT JOIN x{n} x ON x.school = t.school AND x.college = t.college AND x.email = lower(t.email)) WHERE {valid})"""
+
+    columns = ", ".join(cols)
+    norm = ", ".join(f"{norm_ws(c)} AS {c}" for c in cols)
+    order = ", ".join(f"{e} DESC" for e in QUALITY.values())
+    return f"""WITH old AS (SELECT ord, {columns} FROM {existing}), late AS (SELECT ord + (SELECT coalesce(max(ord), -1) + 1 FROM old) AS ord, {columns} FROM {new}),
+both_rows AS (SELECT * FROM old UNION ALL SELECT * FROM late), {sanitised('both_rows', 1)},
+w AS MATERIALIZED (SELECT ord, {norm}, {clean_name('name')} AS cname FROM s1), i AS (SELECT *, {IDENTITY} FROM w),
+b AS (SELECT ord, min(ord) OVER (PARTITION BY kind, a, b, c) AS first_ord, row_number() OVER (PARTITION BY kind, a, b, c ORDER BY {order}, ord) AS nth FROM i),
+m AS (SELECT b.first_ord AS ord, {', '.join('s1.' + c for c in cols)} FROM b JOIN s1 ON s1.ord = b.ord WHERE nth = 1), {sanitised('m', 2)}
+SELECT ord, {columns}, row_number() OVER (ORDER BY ord) AS seq FROM s2"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import email, markup, names, org, rules, text, title, url
+from ..functions import email, markup, names, org, rules, simple, text, title, url
 from ..operators import enrich, pages
 from . import oracle as q
 from .queries import query, rows_of
@@ -271,3 +271,25 @@ def page_org(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = f"concat('<title>', {_V['school']}, '-', {_V['college']}, '</title>')"
     found = made(spark, sf_dir, html).select("row_id", org.org_of_page("url", "html").alias("o"))
     return found.select("row_id", "o.school", "o.college")
+
+
+_BLOCK = f"concat('<p>x</p><div class=\"c\" id=\"vsb_content\"><p>', {_V['intro']}, '</p></div><div>', {_V['name']}, '</div>')"
+
+
+@query(f"SELECT row_id, CASE WHEN contains({_V['intro']}, '</div') THEN '' ELSE {q.html_to_text(chr(39) + '<p>' + chr(39) + ' || ' + _V['intro'] + ' || ' + chr(39) + '</p></div>' + chr(39))} END AS content FROM template_rows")
+def page_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of a page's marked content."""
+    given = made(spark, sf_dir, _BLOCK).select("row_id", "intro", text.html_to_text(text.content_block("html")).alias("content"))
+    return given.select("row_id", F.when(F.coalesce("intro", F.lit("")).contains("</div"), "").otherwise(F.col("content")).alias("content"))
+
+
+_LIGHT = f"concat('<p>', {_V['name']}, '</p><p>职称：', {_V['title']}, '</p><p>', {_V['email']}, '</p>')"
+
+
+@query(
+    f"SELECT row_id, {q.first_of('regexp_extract_all(' + q.undisguise(_LIGHT) + ', ' + q.lit(simple.EMAIL) + ')')} AS email, coalesce({q.sub(q.strip(q.sub(q.sub('translate(' + _V['name'] + ', chr(160) || chr(12288) || chr(9) || chr(13), ' + q.lit('   ') + ' || chr(10))', ' +', ' '), chr(10) + '{3,}', chr(10) + chr(10))), '(?:' + simple.NAME_WORDS + ')$')}, '') AS name FROM template_rows"
+)
+def light_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The light profile: the first address that is no stand-in, and the name without a rank behind it."""
+    given = made(spark, sf_dir, _LIGHT)
+    return given.select("row_id", simple.extract_email("html", "html", F.lit("")).alias("email"), simple.clean_name("name").alias("name"))

@@ -13,7 +13,7 @@ from ..functions.names import clean_name, name_of_page
 from ..functions.text import compact, norm_ws, truncate
 from ..functions.url import path_stem
 from ..operators import enrich, merge, pages as page_operators, report, seeds
-from ..operators.common import numbered
+from ..operators.common import looked_up, numbered
 from ..sources import files, workbook
 
 
@@ -64,8 +64,8 @@ def seed_records(cells: DataFrame, run: Run) -> DataFrame:
     )
     records = seeds.expand(rows, maps, defaults)
     place = F.shiftleft("ord", 24) + F.col("part")  # a row has fewer records than cells, and those fewer than 2**24
-    placed = records.withColumn("_place", place).join(
-        F.broadcast(defaults.select("source", F.col("school").alias("_s"), F.col("college").alias("_c"))), "source"
+    placed = looked_up(
+        records.withColumn("_place", place), defaults.select("source", F.col("school").alias("_s"), F.col("college").alias("_c")), ["source"]
     )
     filled = seeds.fill_org_forward(placed, "source", "_place", F.col("_s"), F.col("_c")).drop("_s", "_c", "_place")
     return _ordered(filled)

@@ -189,14 +189,24 @@ def email_undisguised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of(spark, sf_dir).select("row_id", email.undisguise("email").alias("email"), email.masked("email").alias("masked"))
 
 
+_SEVERAL = "concat_ws('; ', email, 'Office@Pages.test.cn', email, collector)"
+
+
 @query(
-    f"SELECT doc_id, cast(len(list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), {q.lit(markup.EMAIL)}), lambda e: lower(e)))) AS BIGINT) AS n_addresses FROM documents"
+    f"SELECT row_id, cast(len(list_distinct(list_transform(regexp_extract_all({_SEVERAL}, {q.lit(markup.EMAIL)}), lambda e: lower(e)))) AS BIGINT) AS n_addresses FROM template_rows"
 )
 def email_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.regexp_extract_all(text.text_of("text"), F.lit(markup.EMAIL), F.lit(0))
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.size(F.array_distinct(F.transform(found, F.lower))).cast("long").alias("n_addresses")
-    )
+    """Different addresses in a text that has some of them twice."""
+    return rows_of(spark, sf_dir).select("row_id", F.size(email.addresses(F.expr(_SEVERAL))).cast("long").alias("n_addresses"))
+
+
+@query(
+    f"SELECT row_id, lower(coalesce(list_filter(regexp_extract_all(t, {q.lit(markup.EMAIL)}), lambda e: NOT regexp_matches(e, '(?i)@(?:example[.]com|test[.]com|163[.]com[.]cn)$'))[1], regexp_extract_all(t, {q.lit(markup.EMAIL)})[1], '')) AS email FROM (SELECT row_id, 'x@example.com ' || {_SEVERAL} AS t FROM template_rows)"
+)
+def email_first_usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first address that is no stand-in."""
+    found = email.addresses(F.concat(F.lit("x@example.com "), F.expr(_SEVERAL)))
+    return rows_of(spark, sf_dir).select("row_id", F.lower(email.first_usable(found)).alias("email"))
 
 
 @query(
@@ -234,13 +244,13 @@ def title_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT doc_id, t AS title, cast(count(*) AS BIGINT) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '副教授|讲师|工程师')) AS t FROM documents) GROUP BY ALL"
+    f"WITH t AS MATERIALIZED (SELECT row_id AS id, concat_ws(' ', title, intro) AS s FROM template_rows), {q.ALIASES}, {q.occurrences('t')} SELECT id AS row_id, title, count(*) AS n FROM occ GROUP BY ALL"
 )
 def title_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Occurrences of three ranks in captured texts."""
-    found = text.matches_with_offsets(text.text_of("text"), "副教授|讲师|工程师")
-    each = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.transform(found, lambda m: m["found"])).alias("title"))
-    return each.groupBy("doc_id", "title").agg(F.count("*").alias("n"))
+    """Places at which any rank is named in a row's texts."""
+    found = title.occurrences(F.concat_ws(" ", "title", "intro"))
+    each = rows_of(spark, sf_dir).select("row_id", F.explode(found).alias("o")).select("row_id", "o.title", "o.start", "o.end").distinct()
+    return each.groupBy("row_id", "title").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -294,7 +304,7 @@ def seed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.groupBy("file_id", "field").agg(F.min("pos").cast("int").alias("position"))
 
 
-@query()
+@query(f"WITH {q.seed_columns()} SELECT * FROM cols")
 def seed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which column holds which field, by header, samples and position."""
     cells = seed_cells(spark, sf_dir)
@@ -302,7 +312,7 @@ def seed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maps.select(F.col("source").alias("file_id"), *[F.col("columns")[f].alias(f) for f in rules.HEADER_ALIASES])
 
 
-@query()
+@query(q.seed_records())
 def seed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of all seed files, several per row where a row holds several."""
     cells = seed_cells(spark, sf_dir)
@@ -394,11 +404,15 @@ def shared_stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.without_shared_addresses(rows_of(spark, sf_dir).select("row_id", "name", "email", "school", "college")).select("row_id", "email")
 
 
-@query()
+_DAY = "CASE WHEN regexp_matches(collected_at, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') THEN try_cast(collected_at AS TIMESTAMP) END"
+_LATE = f"coalesce(ingested_at > {_DAY} + INTERVAL 30 DAY, false)"
+
+
+@query(q.upserted(f"(SELECT *, row_id AS ord FROM template_rows WHERE NOT {_LATE})", f"(SELECT *, row_id AS ord FROM template_rows WHERE {_LATE})"))
 def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows merged into the earlier ones: the best row of every identity, renumbered."""
     rows = rows_of(spark, sf_dir).select(F.col("row_id").alias("ord"), *rules.COLUMNS, "ingested_at")
-    day = F.try_to_timestamp("collected_at")
+    day = F.when(F.col("collected_at").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_timestamp("collected_at"))
     marked = rows.withColumn("_late", F.coalesce(F.col("ingested_at") > day + F.expr("INTERVAL 30 DAYS"), F.lit(False)))
     return merge.upserted(marked.where("NOT _late").drop("_late", "ingested_at"), marked.where("_late").drop("_late", "ingested_at"))
 
@@ -514,6 +528,29 @@ def p2_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unify(table(spark, sf_dir, "seed_files"), table(spark, sf_dir, "seed_lines"))
 
 
+_BARE = "lower(regexp_replace(key, '[\\s_\\-.:：/]+', '', 'g'))"
+
+
+def _unified_value(f: drift.FieldSpec) -> str:
+    """The plain value under the first key that is a spelling of the field."""
+    listed = ", ".join(q.lit(drift.bare(a)) for a in f.aliases)
+    key = f"list_filter(list_sort(ks), lambda key: {_BARE} IN ({listed}))[1]"
+    at = "json_extract(record, '$.\"' || " + key + " || '\"')"
+    value = "json_extract_string(record, '$.\"' || " + key + " || '\"')"
+    return (
+        f"CASE json_type({at}) WHEN 'ARRAY' THEN json_extract_string({at}, '$[0]') WHEN 'OBJECT' THEN coalesce(json_extract_string({at}, '$.text'), json_extract_string({at}, '$.href'), {value}) ELSE {value} END AS {f.name}"
+    )
+
+
+@query(
+    "WITH v AS MATERIALIZED (SELECT line_id, record, json_keys(record) AS ks FROM seed_lines WHERE json_valid(record) AND json_type(record) = 'OBJECT') "
+    f"SELECT line_id, {', '.join(map(_unified_value, drift.FIELDS))} FROM v"
+)
+def p2_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The known fields of the unified seed table."""
+    return p2_unified(spark, sf_dir).drop("others", "file_id", "line_no")
+
+
 def queries() -> dict[str, Query]:
     from . import page_queries  # noqa: F401 - registers its own
 

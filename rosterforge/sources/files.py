@@ -8,6 +8,7 @@ import io
 import json
 import os
 import re
+import shutil
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain, islice
 
@@ -108,6 +109,19 @@ def write_small_csv(df: DataFrame, path: str, headers: Sequence[str], most: int
     return len(rows)
 
 
+def write_previews(folder: str, sheets: Sequence[tuple[str, Sequence[str], Sequence[Sequence[object]]]]) -> list[str]:
+    """One numbered CSV file for each ``(name, headers, rows)`` in a folder that holds nothing else afterwards."""
+    if os.path.isdir(folder):
+        shutil.rmtree(folder)
+    os.makedirs(folder)
+    out = []
+    for i, (name, headers, rows) in enumerate(sheets, 1):
+        out.append(os.path.join(folder, f"{i:02}_{file_part(name)}.csv"))
+        with open(out[-1], "w", encoding="utf-8", newline="") as f:
+            f.write(csv_text(headers, rows))
+    return out
+
+
 def write_partitioned(rows: DataFrame, path: str) -> None:
     """One folder per school and college under ``path``; only the folders of these rows are replaced."""
     out = rows.withColumn("school", path_part("school", "未填写学校")).withColumn("college", path_part("college", "未命名学院"))
@@ -158,6 +172,7 @@ def removed(spark: SparkSession, root: str, paths: Iterable[str]) -> list[str]:
 def write_run_log(path: str, counters: dict, log: DataFrame) -> None:
     """Counters as one JSON document, entries as JSON lines beside it."""
     log.write.mode("overwrite").json(os.path.join(path, "entries"))
+    os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, "run.json"), "w", encoding="utf-8") as f:
         json.dump(counters, f, ensure_ascii=False, indent=2)
 

@@ -2,7 +2,7 @@
 
 ``spark.read.format("workbook").load(path)`` gives ``path, ord, cells`` of the
 first sheet of every file; ``df.write.format("workbook")`` writes one file per
-task from the frame's columns. Register both once per session with
+task from the frame's columns, into a folder that all machines share. Register both once per session with
 ``register(spark)``.
 """
 
@@ -171,6 +171,8 @@ class _Writer(DataSourceWriter):
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         kept = {m.path for m in messages if m}
+        if lost := sorted(p for p in kept if not os.path.exists(p)):
+            raise ValueError(f"{lost[0]} was written on another machine; workbooks need a folder that all machines share")
         for f in glob.glob(os.path.join(self.path, "part-*.xlsx")):
             if f not in kept and os.path.basename(f).count("-") == 2:
                 os.remove(f)

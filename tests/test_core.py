@@ -1,5 +1,6 @@
 import html
 import itertools
+import json
 import random
 
 from pyspark.sql import functions as F
@@ -295,3 +296,45 @@ def test_a_whole_run(spark):
     assert {r["severity"] for r in out["log"].collect()} == {"warn"}
     done = enrich.enriched(pipeline.seed_records(cells, told), captured)
     assert done.where("found").count() == 1
+
+
+def test_drift_without_known_spellings(spark):
+    """Columns that go on under other names are matched by their values, whatever the names."""
+    from dataclasses import replace
+
+    random.seed(12)
+    bare_fields = tuple(replace(f, aliases=(f.name,)) for f in drift.FIELDS)
+    signs = "赵钱孙李周吴郑王冯陈褚卫蒋沈韩杨朱秦尤许何吕施张"
+    people = [
+        {"n": "".join(random.sample(signs, 3)), "u": f"https://x.test/{i}", "c": random.choice(["数学学院", "物理学院", "化学学院"]), "m": f"a{i}@x.test"} for i in range(24)
+    ]
+    names = [{"n": "n1", "u": "u1", "c": "c1", "m": "m1"}, {"n": "zz", "u": "yy", "c": "xx", "m": "ww"}]
+    lines = [(100 * f + i, f + 1, i, json.dumps({names[f][k]: v for k, v in p.items()}, ensure_ascii=False)) for f in (0, 1) for i, p in enumerate(people[12 * f : 12 * f + 12])]
+    files = spark.createDataFrame([(1, "f", "1"), (2, "f", "2")], "file_id long, feed_id string, file_date string")
+    df = spark.createDataFrame(lines, "line_id long, file_id long, line_no long, record string")
+    got = {tuple(r) for r in drift.changes(files, df, bare_fields).collect()}
+    assert got == {(2, f, "renamed") for f in ("name", "profile_url", "college", "email")}
+
+
+def test_lookups_spread_hot_keys(spark):
+    from rosterforge.operators.common import looked_up
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 7}" if i % 3 == 1 else None) for i in range(90)], "id long, k string")
+    keyed = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, v long")
+    want = {r["id"]: {"hot": 1, "k1": 2, "k2": 3}.get(r["k"]) for r in rows.collect()}
+    for broadcast, share in ((100, 1000), (0, 4), (0, 1000), (0, 1)):
+        assert {r["id"]: r["v"] for r in looked_up(rows, keyed, ["k"], broadcast, share).collect()} == want
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    chain = [(i, f"c{j}") for i in range(40) for j in (i, i + 1)]
+    hub = [(1000 + i, "hub") for i in range(60)]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(chain + hub, "id long, key string")).collect()}
+    assert got == {i: 0 for i in range(40)} | {1000 + i: 1000 for i in range(60)}
+
+
+def test_best_rows_of_a_hot_identity(spark):
+    rows = [(i, *template(**FULL | {"title": "教授" if i in (7, 9) else "教师", "intro": "张三" + "好" * (i == 9)})) for i in range(40)]
+    df = spark.createDataFrame(rows, "ord long, " + ", ".join(f"{c} string" for c in rules.COLUMNS))
+    assert [(r["ord"], r["intro"]) for r in merge.best_rows(df, "ord").collect()] == [(0, "张三好")]
+    assert merge.best_rows(df.limit(0), "ord").count() == 0

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from rosterforge.functions import rules
@@ -81,3 +82,95 @@ def test_stream_of_rows(spark, tmp_path):
     rows = spark.read.parquet(upsert.latest(spark, snapshot)).collect()
     assert [(r["name"], r["title"]) for r in rows] == [("张三", "教授")]
     assert len([d for d in os.listdir(snapshot) if d.startswith("batch=")]) == 2
+
+
+def test_rows_of_any_width(spark, tmp_path):
+    wide = [f"c{i}" for i in range(300)]
+    (tmp_path / "w.csv").write_text("﻿" + ",".join(wide) + "\r\n\r\n , \r\na,\"b\n\"\"c\"\"\"\r\n" + ",".join(wide) + ",more\r\n", encoding="utf-8")
+    got = {r["ord"]: list(r["cells"]) for r in files.read_ragged_csv(spark, str(tmp_path / "w.csv")).collect()}
+    assert got == {-1: wide, 0: ["a", 'b\n"c"'], 1: [*wide, "more"]}
+
+
+def test_stale_files_and_listing(spark, tmp_path):
+    root = tmp_path / "out"
+    (root / "a").mkdir(parents=True)
+    (root / "a" / "x.csv").write_text("1")
+    (root / "b.csv").write_text("2")
+    assert [p.rpartition("/")[2] for p in files.listed(spark, str(root))] == ["a", "b.csv"] and files.listed(spark, str(tmp_path / "none")) == []
+    assert files.removed(spark, str(root), [str(root / "a"), str(root / "gone.csv")]) == [str(root / "a")]
+    assert not (root / "a").exists() and (root / "b.csv").exists()
+    for outside in (str(tmp_path / "other.csv"), str(root), str(root / ".." / "x")):
+        with pytest.raises(ValueError):
+            files.removed(spark, str(root), [outside])
+    assert files.is_within("/a/b", "/a/b/c") and not files.is_within("/a/b", "/a/bc")
+
+
+def test_snapshots_are_listed_through_the_store(spark, tmp_path):
+    snapshot = tmp_path / "snap"
+    for n, complete in ((1, True), (2, True), (3, False)):
+        folder = snapshot / f"batch={n:012d}"
+        folder.mkdir(parents=True)
+        if complete:
+            (folder / "_SUCCESS").write_text("")
+    uri = snapshot.as_uri()  # a path with a scheme, which no function of the os module would find
+    assert upsert.latest(spark, uri).endswith("batch=000000000002") and upsert.latest(spark, uri, below=2).endswith("batch=000000000001")
+    assert upsert.latest(spark, uri, below=1) is None and upsert.latest(spark, uri + "/none") is None
+
+
+def test_capture_with_retries(spark):
+    from urllib.error import HTTPError, URLError
+
+    from rosterforge.sources import capture
+
+    calls = []
+
+    def fetch(url, seconds):
+        calls.append(url)
+        if "slow" in url and len(calls) < 3:
+            raise URLError("no route")
+        if "gone" in url:
+            raise HTTPError(url, 404, "Not Found", None, None)
+        return f"<p>{url}</p>"
+
+    assert capture.with_retries(fetch, "https://x.test/slow", 1, (0, 0)) == "<p>https://x.test/slow</p>" and len(calls) == 3
+    assert capture.headers("https://x.test/a")["Referer"] == "https://x.test/"
+    urls = spark.createDataFrame([("https://x.test/a#1",), ("https://x.test/a#2",), ("https://x.test/gone",), ("",), (None,)], "url string")
+    got = {r["url"]: (r["html"], r["error"]) for r in capture.captured(urls, fetch=fetch, waits=(0,)).collect()}
+    assert set(got) == {"https://x.test/a", "https://x.test/gone"} and got["https://x.test/a"] == ("<p>https://x.test/a</p>", None)
+    assert got["https://x.test/gone"][0] is None and "404" in got["https://x.test/gone"][1]
+
+
+def test_command_line(spark, tmp_path):
+    from rosterforge import cli
+
+    page = "<title>张三--甲乙大学</title><p>张三，副教授，邮箱：zhang@x.edu.cn</p><p>长期从事海流模拟方面的教学和研究工作二十余年，成果丰富。</p>"
+    spark.createDataFrame([("https://x.cn/1", page)], "url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    (tmp_path / "甲乙大学-数学学院.csv").write_text("姓名,主页\n张三,https://x.cn/1\n李四,\n", encoding="utf-8")
+    given = cli.parser().parse_args(["--input", str(tmp_path / "甲乙大学-数学学院.csv"), "--pages", str(tmp_path / "pages.parquet"), "--collector", "c", "--date", "2024-01-01", "--output", str(tmp_path / "o.csv"), "--log", str(tmp_path / "log")])
+    counters = cli.run(spark, given)
+    assert (counters["n_input"], counters["n_exported"]) == (2, 1)
+    assert "zhang@x.edu.cn" in (tmp_path / "o.csv").read_text(encoding="utf-8") and (tmp_path / "log" / "run.json").exists()
+    answers = iter(["https://x.cn/l", "y"])
+    assert cli.asked(cli.parser().parse_args([]), lambda _: next(answers)).list_page_url == "https://x.cn/l"
+    with pytest.raises(ValueError):
+        cli.run(spark, cli.parser().parse_args([]))
+
+
+def test_previews_replace_their_folder(tmp_path):
+    folder = tmp_path / "p"
+    folder.mkdir()
+    (folder / "old.csv").write_text("x")
+    made = files.write_previews(str(folder), [("甲", ["a"], [["1"]]), ("乙/丙", ["b"], [])])
+    assert sorted(os.listdir(folder)) == ["01_甲.csv", "02_乙_丙.csv"] and len(made) == 2
+
+
+def test_summary_written_as_workbook(spark, tmp_path):
+    from rosterforge.plans import pipeline
+    from rosterforge.sources import workbook
+
+    full = ("", "张三", "教授", "z@x.cn", "甲乙大学", "数学学院", "c", "2024-01-01", "张三是教授", "http://x/1")
+    schema = "number long, " + ", ".join(f"{c} string" for c in rules.COLUMNS)
+    df = spark.createDataFrame([(2, *full), (1, *full[:5], "物理学院", *full[6:])], schema).drop("seq")
+    assert pipeline.resync(df, str(tmp_path / "s.xlsx")) == 2
+    rows = list(workbook.read_first_sheet(str(tmp_path / "s.xlsx")))
+    assert rows[0] == list(rules.HEADERS) and [r[0] for r in rows[1:]] == ["1", "2"] and rows[1][5] == "物理学院"
