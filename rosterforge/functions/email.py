@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import markup, rules
-from .text import SPACE, col, contains_any, html_to_text, let, matches_with_offsets, norm_ws, text_of
+from .text import SPACE, col, contains_any, filled, html_to_text, let, matches_with_offsets, norm_ws, text_of
 
 _CANDIDATES = "array<struct<score:int,email:string>>"
 
@@ -144,7 +144,7 @@ def extract(page: Column | str, text: Column | str, context: Column | str, ocr:
         seen = F.coalesce(shown, seen)
     of = lambda parts: F.flatten(F.transform(parts, lambda p: p["c"]))
     staged = lambda p: F.coalesce(
-        F.nullif(best(of(F.filter(p, lambda x: ~x["far"])), 70), F.lit("")), best(F.concat(of(p), seen))
+        filled(best(of(F.filter(p, lambda x: ~x["far"])), 70)), best(F.concat(of(p), seen))
     )
     return F.coalesce(let(labelled, lambda e: F.when((e != "") & F.coalesce(trusted(e), F.lit(False)), e)), let(scored, staged))
 

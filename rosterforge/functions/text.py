@@ -32,6 +32,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
 
 
+def filled(c: Column) -> Column:
+    """NULL for ''; unlike ``nullif`` it doesn't repeat a long expression."""
+    return let(c, lambda v: F.when(v != "", v))
+
+
 def contains_any(c: Column, tokens: tuple[str, ...]) -> Column:
     out = F.lit(False)
     for t in tokens:
@@ -155,7 +160,7 @@ def first_body_line(text: Column | str) -> Column:
 def page_intro(page: Column | str, text: Column | str) -> Column:
     """Titled section, else meta description, else first line of content; at most 200 signs."""
     meta = let(meta_description(page), lambda m: F.when(is_valid_intro(m), m))
-    return truncate(F.coalesce(F.nullif(section_intro(page), F.lit("")), meta, first_body_line(text)), 200)
+    return truncate(F.coalesce(filled(section_intro(page)), meta, first_body_line(text)), 200)
 
 
 def card_intro(c: Column | str) -> Column:

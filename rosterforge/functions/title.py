@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import markup, rules
 from .names import clean_name
-from .text import HAN, contains_any, let, matches_with_offsets, norm_ws, text_of
+from .text import HAN, contains_any, filled, let, matches_with_offsets, norm_ws, text_of
 
 #: How far from a name a rank may stand.
 NEAR = 40
@@ -114,16 +114,12 @@ def field_value(c: Column | str) -> Column:
     return norm_ws(F.regexp_replace(out, markup.NEXT_LABEL, ""))
 
 
-def _filled(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
-
-
 def labelled(source: Column | str) -> Column:
     """The rank behind a label: by level, by its words, else the first token of the value; ''."""
 
     def value(v: Column) -> Column:
         token = F.left(F.get(F.split(v, "[，,；;。/ ]"), F.lit(0)), F.lit(20))
-        return F.coalesce(*[_filled(x) for x in (by_level(v), first_in(v), by_priority(v), known_in(v), specific(v), token)])
+        return F.coalesce(*[filled(x) for x in (by_level(v), first_in(v), by_priority(v), known_in(v), specific(v), token)])
 
     captured = F.array(*[F.regexp_extract(text_of(source), p, 1) for p in markup.TITLE_LABELS])
     found = F.filter(F.transform(captured, lambda c: let(field_value(c), value)), lambda t: t.isNotNull())
@@ -142,7 +138,7 @@ def extract(text: Column | str, context: Column | str, name: Column | str, ocr:
 def normalise(c: Column | str) -> Column:
     """A rank's normal form; unknown ranks as they are."""
     steps = lambda t: F.coalesce(
-        _filled(collapse(specific(t))), _filled(collapse(first_in(t))), _filled(by_priority(t)), _filled(collapse(known_in(t))), collapse(t)
+        filled(collapse(specific(t))), filled(collapse(first_in(t))), filled(by_priority(t)), filled(collapse(known_in(t))), collapse(t)
     )
     return let(norm_ws(c), steps)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import email, org, title
 from ..functions.names import name_of_page
-from ..functions.text import html_to_text, norm_ws, page_intro, text_of
+from ..functions.text import filled, html_to_text, norm_ws, page_intro, text_of
 from ..functions.url import image_urls, looks_like_url, without_fragment
 from .seeds import RECORD
 
@@ -35,19 +35,19 @@ def enriched(records: DataFrame, pages: DataFrame, ocr_text: Column | None = Non
     joined = keyed.join(distinct_pages(pages), "page_key", "left").withColumn("found", F.col("html").isNotNull())
     page = F.col("html")
     joined = joined.withColumn("_text", html_to_text(page)).withColumn("_org", org.org_of_page("profile_url", page))
-    filled = lambda *c: F.coalesce(*[F.nullif(norm_ws(x), F.lit("")) for x in c], F.lit(""))
+    first = lambda *c: F.coalesce(*[filled(norm_ws(x)) for x in c], F.lit(""))
     nameless = (norm_ws("name") == "") | looks_like_url("name")
-    joined = joined.withColumn("name", F.when(F.col("found") & nameless, filled(name_of_page(page, "profile_url"), "name")).otherwise(text_of("name")))
+    joined = joined.withColumn("name", F.when(F.col("found") & nameless, first(name_of_page(page, "profile_url"), "name")).otherwise(text_of("name")))
     joined = joined.withColumn("_context", title.context_of("_text", "name"))
     ocr = None
     if ocr_text is not None:
         ocr = F.when(title.needs_ocr(page, "_text", image_urls(page, "profile_url")), ocr_text).otherwise(F.lit(""))
     given = {
-        "school": filled(F.col("_org.school"), "school"),
-        "college": filled(F.col("_org.college"), "college"),
-        "email": filled("email", email.extract(page, "_text", "_context", ocr)),
-        "title": filled("title", title.extract("_text", "_context", "name", ocr)),
-        "intro": filled("intro", page_intro(page, "_text")),
+        "school": first(F.col("_org.school"), "school"),
+        "college": first(F.col("_org.college"), "college"),
+        "email": first("email", email.extract(page, "_text", "_context", ocr)),
+        "title": first("title", title.extract("_text", "_context", "name", ocr)),
+        "intro": first("intro", page_intro(page, "_text")),
     }
     for field, value in given.items():
         joined = joined.withColumn(field, F.when(F.col("found"), value).otherwise(text_of(field)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import email, markup, rules, title
 from ..functions.names import clean_name, looks_like_name, name_beside_title
-from ..functions.text import card_intro, clean_intro, html_to_text, norm_ws, text_of
+from ..functions.text import card_intro, clean_intro, filled, html_to_text, norm_ws, text_of
 from ..functions.url import resolve, site_root
 
 ITEM = ("url", "at", "name", "profile_url", "title", "email", "intro")
@@ -66,7 +66,7 @@ def list_cards(pages: DataFrame, most: int | None = None) -> DataFrame:
     )
     head, body = clean_intro(html_to_text("head")), clean_intro(html_to_text("body"))
     both = norm_ws(F.concat(head, F.lit("\n"), body))
-    rank = F.coalesce(F.nullif(title.normalise(head), F.lit("")), title.extract(both, both, clean_name(head)))
+    rank = F.coalesce(filled(title.normalise(head)), title.extract(both, both, clean_name(head)))
     each = each.withColumn("_head", head).withColumn("_both", both).withColumn("_body", body).withColumn("title", rank)
     return each.select(
         "url",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import email, markup, names, org, rules, simple, text, title, url
 from ..operators import enrich, pages
+from ..operators.common import checkpointed
 from . import oracle as q
 from .queries import query, rows_of
 
@@ -259,7 +260,7 @@ def page_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of records without URL and of pages that were not captured."""
-    log = enrich.enrichment_log(enrich.enriched(*_page_records(spark, sf_dir)))
+    log = enrich.enrichment_log(checkpointed(enrich.enriched(*_page_records(spark, sf_dir))))
     return log.where("severity <> 'info'").groupBy("severity").agg(F.count("*").alias("n"))
 
 

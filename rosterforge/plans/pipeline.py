@@ -13,7 +13,7 @@ from ..functions.names import clean_name, name_of_page
 from ..functions.text import compact, norm_ws, truncate
 from ..functions.url import path_stem
 from ..operators import enrich, merge, pages as page_operators, report, seeds
-from ..operators.common import looked_up, numbered
+from ..operators.common import checkpointed, looked_up, numbered
 from ..sources import files, workbook
 
 
@@ -101,7 +101,7 @@ def run(
     records: DataFrame, pages: DataFrame, told: Run, ocr_text: Column | None = None, decode: Callable[[Column, Column, Column], Column] | None = None
 ) -> dict[str, DataFrame]:
     """``rows``, ``log`` and ``counters`` of a run over its records; encrypted spans are decoded before anything is read."""
-    done = enrich.enriched(records, page_operators.decode_spans(pages, decode), ocr_text)
+    done = checkpointed(enrich.enriched(records, page_operators.decode_spans(pages, decode), ocr_text))  # read three times
     log = enrich.enrichment_log(done)
     merged = merge.merged_profiles(done, "ord") if told.merge_duplicates else done
     rows, counters = exported(merged, told)
